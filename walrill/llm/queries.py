@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walrill.llm import mixing, sharding
+from walrill.llm import decontam, mixing, sharding, token_store
 from walrill.llm.common import table
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    return token_store.read_digests(spark, token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_mixing": op4_mixing, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op4_mixing": op4_mixing, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.MIXTURE_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.MIXTURE_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
