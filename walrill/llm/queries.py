@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walrill.llm import decontam, mixing, sharding, token_store
+from walrill.llm import decontam, mixing, neardup, sharding, token_store
 from walrill.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str, tokenizer_path: str | None
     return token_store.read_digests(spark, token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op4_mixing": op4_mixing, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.MIXTURE_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": neardup.NEAR_DUPLICATES_SQL, "op4_mixing": mixing.MIXTURE_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
