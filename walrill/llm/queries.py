@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walrill.llm import decontam, mixing, neardup, sharding, token_store
+from walrill.llm import decontam, mixing, neardup, sharding, substring, token_store
 from walrill.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op7_substring_dedup": op7_substring_dedup, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
 
-ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": neardup.NEAR_DUPLICATES_SQL, "op4_mixing": mixing.MIXTURE_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": neardup.NEAR_DUPLICATES_SQL, "op4_mixing": mixing.MIXTURE_SQL, "op7_substring_dedup": substring.SUBSTRING_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
