@@ -9,6 +9,7 @@ is the prefix sum of the lengths of the shards before it.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,43 +23,72 @@ from pyspark.sql import functions as F
 
 from walrill.llm.common import raw_texts, shared_dir, slices
 
-#: Words whose ids a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 200_000, 48
+#: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
+REMEMBERED, LONGEST = 400_000, 48
+#: Splits a sentence mark from an ASCII letter or digit before it; the tokenizer's own pattern does so too.
+_MARK = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?![^ \t\n\x0b\x0c\r])")
 
 
 class WordEncoder:
     """Whole-text ids of a tokenizer that never looks across white space, from the remembered ids of its words.
 
-    ``word_bpe_49k`` is one: its pattern matches no white space, so a text's ids are its words' ids in order."""
+    ``word_bpe_49k`` is one: its pattern matches no white space and keeps letters apart from marks, and it lowers case, so a
+    text's ids are those of its lower-case words and marks in order. Texts that might spell a special token stay as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word. Plain words are encoded in one go: each of them has one token that ends a word."""
+        spelled = [w.decode("utf-8", "replace") for w in words]
+        plain = [i for i, w in enumerate(spelled) if w.isalpha()]
+        found: dict[bytes, bytes] = {}
+        if len(plain) > 1:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([spelled[i] for i in plain])], add_special_tokens=False)[0].ids, self.dtype)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(plain) and cuts[-1] == len(ids):
+                data, width = ids.tobytes(), self.dtype.itemsize
+                at = [0, *(cuts * width).tolist()]
+                found = {words[i]: data[at[k] : at[k + 1]] for k, i in enumerate(plain)}
+        rest = [i for i in range(len(words)) if words[i] not in found]
+        if rest:
+            found.update(zip([words[i] for i in rest], self._encode([spelled[i] for i in rest]), strict=True))
+        return found
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
-        known = self.known
-        new = {w for words in split for w in words if w not in known}
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {w for words in split for w in words}
-        long = {w for w in new if len(w) > LONGEST}
-        order = list(new)
-        found = dict(zip(order, self._encode(order), strict=True)) if order else {}
-        if long:
-            here = {w: found.pop(w) for w in long}
-            known.update(found)
-            return [b"".join([known[w] if w in known else here[w] for w in words]) for words in split]
-        known.update(found)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        split = []
+        for t in texts:
+            t = t or b""
+            if b"<|" not in t:
+                t = _MARK.sub(rb" \1", t.lower())
+            split.append(t.split())
+        young, old = self.young, self.old
+        coded = [list(map(young.get, words)) for words in split]
+        lacking = [i for i, ids in enumerate(coded) if None in ids]
+        if lacking:
+            met = set().union(*(split[i] for i in lacking)) - young.keys()
+            here = {w: old[w] for w in met & old.keys()}
+            if new := list(met - here.keys()):
+                here.update(self._learn(new))
+            young.update({w: v for w, v in here.items() if len(w) <= LONGEST})
+            for i in lacking:
+                coded[i] = [here[w] if v is None else v for w, v in zip(split[i], coded[i], strict=True)]
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
+        return [b"".join(ids) for ids in coded]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
