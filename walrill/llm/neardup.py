@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from walrill.llm.common import discard, fresh_name, materialise, mix, raw_texts, shingle_sets, slices, windows
+from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
 SIMILARITY_PERCENT = 85
@@ -153,6 +154,15 @@ def _clusters(digests: DataFrame) -> DataFrame:
     return components(members.join(buckets, "bucket").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")))
 
 
+def _known(table: tuple[int, str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hit = maybe_in(table, b.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["doc_id", "text"]).filter(pa.array(hit))
+
+    return run
+
+
 def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Digests (doc_id, n_shingles, node) of all rows of ``docs`` (doc_id, text), and (node, component) of all linked nodes.
 
@@ -165,7 +175,12 @@ def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int =
     sizes = nodes.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
     placed = nodes.join(sizes, "component").select("node", "component", "rep", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("own"))
     others = F.when(F.col("chunks") > 1, F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), F.col("own"))).otherwise(F.array(F.lit(0).cast("long")))
-    texts = narrow.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "component", "own", "text", F.explode(others).alias("other"))
+    # Only texts of candidates move: a bit table of their ids, of bounded size, drops nearly all others before the join.
+    table = bit_table(materialise(nodes.select(F.xxhash64("rep"))))
+    if table is None:
+        return digests.drop("bands"), clusters
+    near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(_known(table), "doc_id long, text string")
+    texts = near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "component", "own", "text", F.explode(others).alias("other"))
     blocks = texts.groupBy("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     links = materialise(blocks.applyInArrow(_verify(percent), "a long, b long"))
     found = materialise(components(links))

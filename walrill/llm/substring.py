@@ -19,16 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import BLOCK_BYTES, discard, materialise, raw_texts, shared_dir, slices, windows, word_hashes
-from walrill.llm.token_store import _keep, _mapped, _open
+from walrill.llm.common import BLOCK_BYTES, discard, materialise, raw_texts, slices, windows, word_hashes
+from walrill.llm.files import bit_table, maybe_in
 
 WINDOW, GRAM = 20, 8
-#: The bit table of repeated anchors: 2**27 bits are 16 MB, whatever the size of the input. Bits a repeated anchor: about 16.
-TABLE_BITS_MOST = 27
 #: Bytes of text whose copies are settled inside a task.
 SLICE_BYTES = 4 * BLOCK_BYTES
 
@@ -81,64 +78,13 @@ def _anchor_rows(window: int, gram: int):
     return run
 
 
-def _table_part(bits: int, folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        table = np.zeros(1 << bits, bool)
-        any_rows = False
-        for b in batches:
-            key = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            table[(key >> _U(64 - bits)).astype(np.int64)] = True
-            any_rows |= len(key) > 0
-        if any_rows:
-            task = TaskContext.get()
-            files, root = _open(folder)
-            files.create_dir(root, recursive=True)
-            name = f"{root}/part-{task.partitionId():06d}.bin"
-            with files.open_output_stream(f"{name}.{task.taskAttemptId()}") as out:
-                out.write(np.packbits(table).tobytes())
-            _keep(files, f"{name}.{task.taskAttemptId()}", name)
-            yield pa.RecordBatch.from_arrays([pa.array([name.rsplit("/", 1)[1]])], names=["name"])
-
-    return run
-
-
-def _packed(bits: int, folder: str, parts: list[str]) -> str:
-    """One table from those of all tasks: a bounded number of bounded files, combined on the driver."""
-    files, root = _open(folder)
-    whole = np.zeros(1 << bits >> 3, np.uint8)
-    for name in parts:
-        whole |= _mapped(files, f"{root}/{name}", "u1")
-    with files.open_output_stream(f"{root}/all.bin") as out:
-        out.write(whole.tobytes())
-    return f"{folder}/all.bin"
-
-
 def _repeated_anchors(texts: DataFrame, window: int, gram: int) -> tuple[int, str] | None:
     """The bit table of anchors that occur twice or more (bits, file), or None if none does."""
     counted = texts.mapInArrow(_anchor_rows(window, gram), "anchor long, n byte").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     counted = materialise(counted)
-    n = counted.count()
-    if not n:
-        return None
-    bits = min(TABLE_BITS_MOST, max(16, (16 * n - 1).bit_length()))
-    folder = shared_dir(texts.sparkSession)
-    # At most 32 tasks, so 32 tables of at most 16 MB, however many anchors there are: each task only sets bits.
-    parts = [r["name"] for r in counted.coalesce(32).mapInArrow(_table_part(bits, folder), "name string").collect()]
+    table = bit_table(counted)
     discard(counted)
-    return bits, _packed(bits, folder, sorted(parts))
-
-
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def _table(file: str) -> np.ndarray:
-    if file not in _TABLES:
-        _TABLES.clear()
-        files, name = _open(file)
-        _TABLES[file] = _mapped(files, name, "u1")
-    return _TABLES[file]
+    return table
 
 
 def _runs(doc: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,11 +101,10 @@ def _runs(doc: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray,
 _ROWS = "kind byte, doc_id long, low int, high int, anchor long, hashes binary, starts binary"
 
 
-def _candidates(window: int, gram: int, bits: int, file: str):
+def _candidates(window: int, gram: int, table: tuple[int, str]):
     names = ["kind", "doc_id", "low", "high", "anchor", "hashes", "starts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(file)
         for b in batches:
             texts, ids = raw_texts(b.column(1)), b.column(0)
             missing = ids.is_null().to_numpy(zero_copy_only=False)
@@ -167,8 +112,7 @@ def _candidates(window: int, gram: int, bits: int, file: str):
             value = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, z in slices(texts, SLICE_BYTES):
                 s = Slice(texts[a:z], window, gram)
-                place = s.anchor >> _U(64 - bits)
-                hit = (table[(place >> _U(3)).astype(np.int64)] >> (7 - (place & _U(7)).astype(np.uint8))) & 1 == 1
+                hit = maybe_in(table, s.anchor)
                 text, start, h, anchor = s.text[hit] + a, s.start[hit], s.hash[hit], s.anchor[hit]
                 order = np.lexsort((start, value[text], missing[text], h))
                 t, st, hh = text[order], start[order], h[order]
@@ -248,7 +192,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
     found = _repeated_anchors(docs.select("text"), window, gram)
     if found is None:
         return spark.createDataFrame([], "doc_id long, low int, high int")
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(_candidates(window, gram, *found), _ROWS))
+    rows = materialise(docs.select("doc_id", "text").mapInArrow(_candidates(window, gram, found), _ROWS))
     open_rows = rows.where("kind = 0").select("anchor", "doc_id", "low", "hashes", "starts")
     settled = open_rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_resolve(window), "doc_id long, low int, high int")
     return settled.unionByName(rows.where("kind = 1").select("doc_id", "low", "high"))

@@ -16,12 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from walrill.llm.common import raw_texts, shared_dir, slices
+from walrill.llm.files import keep, mapped, open_folder
 
 #: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
 REMEMBERED, LONGEST = 400_000, 48
@@ -100,24 +100,10 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri.removeprefix('file:')}")
-
-
-def _keep(files: fs.FileSystem, done: str, name: str) -> None:
-    """Moves a finished file into place; a second attempt of a task leaves the same bytes."""
-    try:
-        files.move(done, name)
-    except OSError:
-        if files.get_file_info(name).type != fs.FileType.File:
-            raise
-        files.delete_file(done)
-
-
 def _writer(folder: str, tokenizer_path: str, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        files, root = _open(folder)
+        files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
         task = TaskContext.get()
         shard, attempt = task.partitionId(), task.taskAttemptId()
@@ -139,7 +125,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
             with files.open_output_stream(f"{names[kind]}.{attempt}") as out:
                 out.write(data)
         for kind in ("docs", "offsets", "tokens"):
-            _keep(files, f"{names[kind]}.{attempt}", names[kind])
+            keep(files, f"{names[kind]}.{attempt}", names[kind])
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(lengths)], pa.int64()), pa.array([total], pa.int64()), pa.array([encode.dtype.itemsize], pa.int32())], names=["shard", "docs", "tokens", "width"])
 
     return write
@@ -171,23 +157,15 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2, folder:
     return TokenStore(folder, tuple(shards))
 
 
-def _mapped(files: fs.FileSystem, name: str, dtype: str) -> np.ndarray:
-    """A file as an array: memory-mapped if it is in a local or mounted folder, else read."""
-    if isinstance(files, fs.LocalFileSystem):
-        return np.memmap(name, dtype, "r")
-    with files.open_input_file(name) as f:
-        return np.frombuffer(f.read(), dtype)
-
-
 def _reader(store: TokenStore):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _open(store.folder)
+        files, root = open_folder(store.folder)
         for b in batches:
             for k in b.column(0).to_pylist():
                 shard, n, base, width = store.shards[k]
-                tokens = _mapped(files, f"{root}/tokens-{shard:06d}.bin", f"<u{width}")
-                offsets = _mapped(files, f"{root}/offsets-{shard:06d}.bin", "<u8").astype(np.int64)
-                docs = _mapped(files, f"{root}/docs-{shard:06d}.bin", "u1")
+                tokens = mapped(files, f"{root}/tokens-{shard:06d}.bin", f"<u{width}")
+                offsets = mapped(files, f"{root}/offsets-{shard:06d}.bin", "<u8").astype(np.int64)
+                docs = mapped(files, f"{root}/docs-{shard:06d}.bin", "u1")
                 ids, nulls = docs[: 8 * n].view("<i8"), docs[8 * n : 9 * n]
                 for a in range(0, n, 5_000):
                     z = min(n, a + 5_000)
