@@ -9,10 +9,10 @@ is the prefix sum of the lengths of the shards before it.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +23,30 @@ from pyspark.sql import functions as F
 from walrill.llm.common import raw_texts, shared_dir, slices
 from walrill.llm.files import keep, mapped, open_folder
 
-#: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
-REMEMBERED, LONGEST = 400_000, 48
-#: Splits a sentence mark from an ASCII letter or digit before it; the tokenizer's own pattern does so too.
-_MARK = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?![^ \t\n\x0b\x0c\r])")
+#: Words whose ids a worker remembers, and the longest of them in bytes; beyond it starts afresh.
+REMEMBERED, LONGEST = 700_000, 48
+#: A sentence mark behind an ASCII letter or digit is a token sequence of its own; the tokenizer's own pattern splits there.
+_MARKS = frozenset(b".,;:!?")
+
+
+class _Places(dict):
+    """Numbers of words; a word that is not known gets the next one and waits to be learnt."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.waiting.append(word)
+        return n
 
 
 class WordEncoder:
     """Whole-text ids of a tokenizer that never looks across white space, from the remembered ids of its words.
 
     ``word_bpe_49k`` is one: its pattern matches no white space and keeps letters apart from marks, and it lowers case, so a
-    text's ids are those of its lower-case words and marks in order. Texts that might spell a special token stay as they are.
-    """
+    text's ids are those of its lower-case words in order. Texts that might spell a special token keep their case."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,50 +57,77 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self._forget()
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.places = _Places()
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+        self.begin = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of each word. Plain words are encoded in one go: each of them has one token that ends a word."""
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all ``words``, and where those of each begin and how many they are. Plain words, one token of which ends a word, go together."""
         spelled = [w.decode("utf-8", "replace") for w in words]
         plain = [i for i, w in enumerate(spelled) if w.isalpha()]
-        found: dict[bytes, bytes] = {}
+        sizes = np.zeros(len(words), np.int64)
+        joined = np.zeros(0, self.dtype)
         if len(plain) > 1:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join([spelled[i] for i in plain])], add_special_tokens=False)[0].ids, self.dtype)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(plain) and cuts[-1] == len(ids):
-                data, width = ids.tobytes(), self.dtype.itemsize
-                at = [0, *(cuts * width).tolist()]
-                found = {words[i]: data[at[k] : at[k + 1]] for k, i in enumerate(plain)}
-        rest = [i for i in range(len(words)) if words[i] not in found]
-        if rest:
-            found.update(zip([words[i] for i in rest], self._encode([spelled[i] for i in rest]), strict=True))
-        return found
-
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        split = []
-        for t in texts:
-            t = t or b""
-            if b"<|" not in t:
-                t = _MARK.sub(rb" \1", t.lower())
-            split.append(t.split())
-        young, old = self.young, self.old
-        coded = [list(map(young.get, words)) for words in split]
-        lacking = [i for i, ids in enumerate(coded) if None in ids]
-        if lacking:
-            met = set().union(*(split[i] for i in lacking)) - young.keys()
-            here = {w: old[w] for w in met & old.keys()}
-            if new := list(met - here.keys()):
-                here.update(self._learn(new))
-            young.update({w: v for w, v in here.items() if len(w) <= LONGEST})
-            for i in lacking:
-                coded[i] = [here[w] if v is None else v for w, v in zip(split[i], coded[i], strict=True)]
-        if len(young) > REMEMBERED:
-            self.young, self.old = {}, young
-        return [b"".join(ids) for ids in coded]
+                joined, sizes[plain] = ids, np.diff(cuts, prepend=0)
+        rest = np.flatnonzero(sizes == 0)
+        singly = [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast([spelled[i] for i in rest], add_special_tokens=False)]
+        begin = np.cumsum(sizes) - sizes
+        if singly:
+            sizes[rest] = [len(x) for x in singly]
+            begin[rest] = len(joined) + np.cumsum(sizes[rest]) - sizes[rest]
+        return np.concatenate([joined, *singly]), begin, sizes
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Adds the ids of ``words``, in the order of their numbers, to the pool; a marked word from those of its parts."""
+        places, have = self.places, len(self.begin) - 1
+        split = [(w[:-1], w[-1:]) if w[-1] in _MARKS and w[-2:-1].isalnum() else (w,) for w in words]
+        flat = list(chain.from_iterable(split))
+        found = {w: n if 0 <= (n := places.get(w, have)) < have else None for w in dict.fromkeys(flat)}
+        names = [w for w, n in found.items() if n is None]
+        ids, begin, sizes = self._encode(names)
+        # Parts that are not known have the numbers after those that are; their ids stand behind the pool's.
+        found.update(zip(names, range(have, have + len(names)), strict=True))
+        number = np.fromiter(map(found.__getitem__, flat), np.int64, len(flat))
+        data = np.concatenate([self.pool[: self.used], ids])
+        first = np.concatenate([self.begin[:-1], self.used + begin])[number]
+        size = np.concatenate([np.diff(self.begin), sizes])[number]
+        ends = np.cumsum(size)
+        new = data[np.arange(int(ends[-1])) + np.repeat(first - (ends - size), size)]
+        last = np.cumsum(np.fromiter(map(len, split), np.int64, len(split))) - 1
+        if self.used + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(new)), self.dtype)])
+        self.pool[self.used : self.used + len(new)] = new
+        self.begin = np.concatenate([self.begin, self.used + ends[last]])
+        self.used += len(new)
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        bounds = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
+        if len(self.places) > REMEMBERED:
+            self._forget()
+        place = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(bounds[-1]))
+        if new := self.places.waiting:
+            self.places.waiting = []
+            self._learn(new)
+        sizes = np.diff(self.begin)[place] if len(place) else place
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.arange(int(ends[-1])) + np.repeat(self.begin[place] - (ends - sizes), sizes)] if len(place) else self.pool[:0]
+        at = np.concatenate([[0], ends])[bounds]
+        if any(len(w) > LONGEST for w in new):
+            self._forget_long(new)
+        return [ids[at[i] : at[i + 1]] for i in range(len(texts))]
+
+    def _forget_long(self, new: list[bytes]) -> None:
+        """Takes the long ones of the words just learnt out of memory; their numbers stay in use."""
+        for w in new:
+            if len(w) > LONGEST:
+                self.places[b"\n%d" % self.places.pop(w)] = -1
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -115,8 +154,8 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
                 texts = raw_texts(b.column(1))
                 for a, z in slices(texts):
                     for coded in encode(texts[a:z]):
-                        out.write(coded + end)
-                        lengths.append(len(coded) // encode.dtype.itemsize + 1)
+                        out.write(coded.tobytes() + end)
+                        lengths.append(len(coded) + 1)
                 ids.append(b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
                 nulls.append(b.column(0).is_null().to_numpy(zero_copy_only=False).astype("u1"))
         offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))]).astype("<u8")
