@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walrill.llm import decontam, mixing, neardup, sharding, substring, token_store, toxicity
+from walrill.llm import decontam, mixing, neardup, pii, sharding, substring, token_store, toxicity
 from walrill.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +46,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op6_toxicity": op6_toxicity, "op7_substring_dedup": op7_substring_dedup, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op6_toxicity": op6_toxicity, "op7_substring_dedup": op7_substring_dedup, "op8_personal_data": op8_personal_data, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
 
 ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": neardup.NEAR_DUPLICATES_SQL, "op4_mixing": mixing.MIXTURE_SQL, "op7_substring_dedup": substring.SUBSTRING_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}
