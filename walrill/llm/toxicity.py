@@ -14,6 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,9 @@ _SIGNS = re.escape("".join(STANDS_FOR))
 #: Spots that may be disguised: letters mixed with signs, single letters in a row, a letter three times or more.
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+€£])(?:[ .\-_*~·/\\](?:[^\W_]|[@$!|+€£])(?![^\W_])){2,}")
 _MIXED = re.compile(rf"[^\W_]*(?:[^\W\d_][{_SIGNS}]+[^\W\d_]|(?<![^\W_])[{_SIGNS}]+[^\W\d_]{{2,}}|[^\W\d_]{{2,}}[\d@$]+(?![^\W_]))(?:[^\W_]|[{_SIGNS}](?=[{_SIGNS}]*[^\W_]))*")
+_TRIPLE = re.compile(r"(.)\1\1")
+#: What may stand around a word (fixed values).
+_QUOTES = ".,;:!?\"'()"
 _STRETCHED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 
 
@@ -128,31 +132,42 @@ def restore(spot: str, model: np.ndarray) -> str:
 
 
 class Restorer:
-    """Words of a text, those of its disguised spots restored; remembers the spots it has met."""
+    """Words of a text, those of its disguised spots restored; remembers the tokens that it has met."""
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = model, {}
 
     def _decoded(self, spot: str) -> list[str]:
-        words = self.known.get(spot)
+        words = _WORD.findall(restore(spot, self.model))
+        return [*words, "".join(words)] if len(words) > 1 else words
+
+    def _of_token(self, token: str) -> tuple[str, ...]:
+        bare = token.strip(_QUOTES)
+        plain = bare.isalpha()
+        found = [bare] if plain else _WORD.findall(token)
+        for pattern in (_STRETCHED,) if plain else (_MIXED, _STRETCHED):
+            for m in pattern.finditer(bare if plain else token):
+                found += self._decoded(m[0])
+        return tuple(dict.fromkeys(found))
+
+    def of(self, token: str) -> tuple[str, ...]:
+        """The words of a lower-case run of characters without white space."""
+        words = self.known.get(token)
         if words is None:
-            plain = restore(spot, self.model)
-            words = _WORD.findall(plain)
-            if len(words) > 1:
-                words.append("".join(words))
-            if len(self.known) > 50_000:
-                self.known.clear()
-            if len(spot) <= 200:
-                self.known[spot] = words
+            words = self._of_token(token)
+            if len(token) <= 64:
+                if len(self.known) > 300_000:
+                    self.known.clear()
+                self.known[token] = words
         return words
 
+    def spaced(self, low: str) -> list[str]:
+        """The words behind spaced-out letters."""
+        return [w for spot in {m[0] for m in _SPACED.finditer(low)} for w in self._decoded(spot)]
+
     def words(self, text: str) -> set[str]:
         low = text.lower()
-        found = set(_WORD.findall(low))
-        for pattern in (_SPACED, _MIXED, _STRETCHED):
-            for spot in {m[0] for m in pattern.finditer(low)}:
-                found.update(self._decoded(spot))
-        return found
+        return set(chain.from_iterable(map(self.of, set(low.split())))).union(self.spaced(low))
 
 
 # --- features and weights ---------------------------------------------------------------------------------------
@@ -185,33 +200,49 @@ def _word_counts(model: np.ndarray):
 
 
 class Weights:
-    """Weights of features, and of words as the greatest of their features' weights, remembered."""
+    """Weights of words: a word's own if it has one, else the greatest of its beginnings'; tokens without any are remembered."""
 
-    def __init__(self, table: dict[str, float]):
-        self.table, self.known = table, {}
+    def __init__(self, table: dict[str, float], restorer: Restorer):
+        self.table, self.restorer, self.known = table, restorer, {}
+        #: First letters that any feature has; nearly all words end here.
+        self.heads = {f.rstrip("$")[:3] for f in table}
 
     def of(self, word: str) -> float:
-        w = self.known.get(word)
-        if w is None:
-            get = self.table.get
-            w = max(0.0, *(get(f, 0.0) for f in features(word)), 0.0)
-            if len(self.known) > 300_000:
+        if word[:3] not in self.heads:
+            return 0.0
+        get = self.table.get
+        return max([0.0, *(get(f, 0.0) for f in features(word))])
+
+    def _of_token(self, token: str) -> dict[str, float]:
+        bare = token.strip(_QUOTES)
+        if bare.isalpha() and not _TRIPLE.search(bare):
+            found = {bare: w} if (w := self.of(bare)) > 0 else None
+        else:
+            found = {x: w for x in self.restorer.of(token) if (w := self.of(x)) > 0} or None
+        if len(token) <= 64:
+            if len(self.known) > 400_000:
                 self.known.clear()
-            self.known[word] = w
-        return w
+            self.known[token] = found
+        return found
 
-    def evidence(self, words: set[str]) -> tuple[float, float, float]:
-        """Sum of the words' weights (damped for long texts), the greatest of them, and how many there are."""
-        found = [w for w in map(self.of, words) if w > 0]
-        return (sum(found) / math.sqrt(1 + len(words) / 200), max(found, default=0.0), math.log1p(len(found)))
+    def evidence(self, text: str) -> tuple[float, float, float]:
+        """Sum of the weights of a text's words (damped for long texts), the greatest of them, and how many there are."""
+        low = text.lower()
+        tokens, known, found = set(low.split()), self.known, {}
+        for t in tokens:
+            if (w := known[t] if t in known else self._of_token(t)) is not None:
+                found.update(w)
+        found.update({x: w for x in self.restorer.spaced(low) if (w := self.of(x)) > 0})
+        return (sum(sorted(found.values())) / math.sqrt(1 + len(tokens) / 200), max(found.values(), default=0.0), math.log1p(len(found)))
 
 
 def _evidence(model: np.ndarray, tables: list[dict[str, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, weights = Restorer(model), [Weights(t) for t in tables]
+        restorer = Restorer(model)
+        weights = [Weights(t, restorer) for t in tables]
         for b in batches:
             folds = b.column(2).to_pylist()
-            rows = [weights[1 - f].evidence(restorer.words(t)) for t, f in zip(_decode(raw_texts(b.column(0))), folds, strict=True)]
+            rows = [weights[1 - f].evidence(t) for t, f in zip(_decode(raw_texts(b.column(0))), folds, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array([r[k] for r in rows], pa.float64()) for k in range(3))], names=["toxic", "x0", "x1", "x2"])
 
     return run
@@ -237,8 +268,8 @@ class Model:
     def __init__(self, trigrams: np.ndarray, table: dict[str, float], curve: np.ndarray):
         self.trigrams, self.table, self.curve = trigrams, table, curve
 
-    def scores(self, restorer: Restorer, weights: Weights, texts: list[str]) -> np.ndarray:
-        x = np.array([weights.evidence(restorer.words(t)) for t in texts]).reshape(len(texts), 3)
+    def scores(self, weights: Weights, texts: list[str]) -> np.ndarray:
+        x = np.array([weights.evidence(t) for t in texts]).reshape(len(texts), 3)
         return 1 / (1 + np.exp(-np.clip(self.curve[0] + x @ self.curve[1:], -30, 30)))
 
 
@@ -297,9 +328,9 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
 
 def _scorer(model: Model, column: int, fields: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, weights = Restorer(model.trigrams), Weights(model.table)
+        weights = Weights(model.table, Restorer(model.trigrams))
         for b in batches:
-            scores = model.scores(restorer, weights, _decode(raw_texts(b.column(column))))
+            scores = model.scores(weights, _decode(raw_texts(b.column(column))))
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != column or len(fields) > b.num_columns), pa.array(scores)], names=fields)
 
     return run
