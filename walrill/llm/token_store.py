@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import raw_texts, shared_dir, slices
+from walrill.llm.common import BLOCK_BYTES, raw_texts, shared_dir, slices
 from walrill.llm.files import keep, mapped, open_folder
 
 #: Words whose ids a worker remembers, and the longest of them in bytes; beyond it starts afresh.
@@ -152,7 +152,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
         with files.open_output_stream(f"{names['tokens']}.{attempt}") as out:
             for b in batches:
                 texts = raw_texts(b.column(1))
-                for a, z in slices(texts):
+                for a, z in slices(texts, 4 * BLOCK_BYTES):
                     for coded in encode(texts[a:z]):
                         out.write(coded.tobytes() + end)
                         lengths.append(len(coded) + 1)
