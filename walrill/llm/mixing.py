@@ -55,9 +55,9 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", row
     The prefix sum has two levels: rows are ranked inside cells (source, size class, hash) of bounded size, and the
     counts of the cells are summed per source, so a source with a third of all rows needs no task of its own."""
     kept = docs.columns if carry is None else carry
-    size, source_size, target, copies = (fresh_name(docs, n) for n in ("size", "source_size", "target", "copies"))
+    size, source_size, target, copies = (fresh_name(docs.select(*kept), n) for n in ("size", "source_size", "target", "copies"))
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary"))
-    rows = docs.select(*kept, F.col(source).alias("mix_source"), n_words(F.col(text)).alias("mix_size"), digest.alias("mix_hash"))
+    rows = docs.select(F.struct(*kept).alias("mix_row"), F.col(source).alias("mix_source"), n_words(F.col(text)).alias("mix_size"), digest.alias("mix_hash"))
     klass = F.when(F.col("mix_size") == 0, F.lit(-1)).otherwise(F.floor(F.log2(F.col("mix_size").cast("double")) * 4)).cast("int")
     counted = materialise(rows.groupBy("mix_source", klass.alias("mix_class")).agg(F.count(F.lit(1)).alias("n"), F.sum("mix_size").alias("s")))
     total = counted.agg(F.sum("n")).first()[0] or 0
@@ -77,7 +77,13 @@ def with_copies(docs: DataFrame, text: str = "text", source: str = "source", row
     offset = F.conv(F.substring(F.md5(F.coalesce(F.col("mix_source"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
     k = (F.col("mix_base") + F.col("mix_rank")).cast("double")
     n = F.floor(offset + k * rate) - F.floor(offset + (k - 1) * rate)
-    return joined.select(*kept, F.col("mix_size").alias(size), F.col("source_size").alias(source_size), F.col("target").alias(target), n.cast("int").alias(copies))
+    return joined.select("mix_row.*", F.col("mix_size").alias(size), F.col("source_size").alias(source_size), F.col("target").alias(target), n.cast("int").alias(copies))
+
+
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", row_id: str = "doc_id") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with its own columns."""
+    rows = with_copies(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.col(source).alias("source"), F.col(row_id).alias("doc_id")), carry=["row"])
+    return rows.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def mixture(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walrill.llm.common import discard, fresh_name, materialise, mix, raw_texts, shingle_sets, slices, windows
+from walrill.llm.common import discard, materialise, mix, raw_texts, shingle_sets, slices, windows
 from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
@@ -223,11 +223,11 @@ def one_of_each(docs: DataFrame, percent: int = SIMILARITY_PERCENT, text: str =
     rows = digests.where("node is not null").join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "node")).alias("k")
     keepers = materialise(rows.groupBy("group").agg(first).select(F.col("k.doc_id").alias("keep_id"), F.col("k.node").alias("keep_node")))
-    key = fresh_name(docs, "node_key")
-    schema = T.StructType([*docs.schema.fields, T.StructField(key, T.LongType())])
-    named = docs.mapInArrow(_named(docs.columns.index(text), [*docs.columns, key]), schema)
-    kept = named.where(F.col(key).isNotNull()).join(keepers, (F.col(key) == F.col("keep_node")) & F.col(row_id).cast("long").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates([key]).select(*docs.columns).unionByName(docs.where(~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
+    schema = T.StructType([*packed.schema.fields, T.StructField("node", T.LongType())])
+    named = packed.mapInArrow(_named(2, [*packed.columns, "node"]), schema).drop("text")
+    kept = named.where("node is not null").join(keepers, (F.col("node") == F.col("keep_node")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
+    return kept.dropDuplicates(["node"]).unionByName(named.where("node is null")).select("row.*")
 
 
 NEAR_DUPLICATES_SQL = r"""

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from walrill.llm import ann, decontam, mixing, neardup, pii, sharding, substring, token_store, toxicity
+from walrill.llm import ann, decontam, html_extract, mixing, neardup, pii, sharding, substring, token_store, toxicity
 from walrill.llm.common import table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     if tokenizer_path is None:
         import public_tokenizers
@@ -50,6 +54,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op5_nearest": op5_nearest, "op6_toxicity": op6_toxicity, "op7_substring_dedup": op7_substring_dedup, "op8_personal_data": op8_personal_data, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_main_text": op1_main_text, "op2_token_store": op2_token_store, "op3_near_duplicates": op3_near_duplicates, "op4_mixing": op4_mixing, "op5_nearest": op5_nearest, "op6_toxicity": op6_toxicity, "op7_substring_dedup": op7_substring_dedup, "op8_personal_data": op8_personal_data, "op9_decontamination": op9_decontamination, "op10_sharding": op10_sharding}
 
 ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": neardup.NEAR_DUPLICATES_SQL, "op4_mixing": mixing.MIXTURE_SQL, "op7_substring_dedup": substring.SUBSTRING_SQL, "op9_decontamination": decontam.DECONTAMINATION_SQL}

@@ -143,17 +143,17 @@ def with_shards(docs: DataFrame, n_shards: int = 40, text: str = "text", row_id:
     any other. An empty table gives an empty result. New names get underscores in front where ``docs`` already has them.
     ``carry`` names the columns to move with each row (all by default). A shard is dealt out as several ranges of at most about ``part_bytes`` and ``part_rows`` each, so no task holds a shard."""
     kept = docs.columns if carry is None else carry
-    hi, lo, uid, size, part, shard, slot = (fresh_name(docs, n) for n in ("key_hi", "key_lo", "row_uid", "size", "range_no", "shard", "slot"))
-    keyed = docs.withColumn(uid, F.monotonically_increasing_id())
-    keyed = keyed.select(*kept, F.xxhash64(F.lit(1), F.col(text)).alias(hi), F.xxhash64(F.col(row_id), F.col(uid)).alias(lo), (F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + ROW_BYTES).alias(size))
-    narrow = materialise(keyed.select(F.col(hi).alias("hi"), F.col(lo).alias("lo"), F.col(size).alias("weight")))
+    size, shard, slot = (fresh_name(docs.select(*kept), n) for n in ("size", "shard", "slot"))
+    # Everything that comes along is one struct, so no column of the input meets one of the columns below.
+    keyed = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"), F.col(row_id).alias("row_id"), F.monotonically_increasing_id().alias("uid"))
+    keyed = keyed.select("row", F.xxhash64(F.lit(1), F.col("text")).alias("hi"), F.xxhash64("row_id", "uid").alias("lo"), (F.coalesce(F.octet_length(F.col("text")), F.lit(0)).cast("long") + ROW_BYTES).alias("weight"))
+    narrow = materialise(keyed.select("hi", "lo", "weight"))
     total, rows, _, _ = histogram(narrow, [])[0]
     each = max(1, -(-total // (n_shards * part_bytes)), -(-rows // (n_shards * part_rows)))
     cuts, before = splitters(narrow, n_shards * each)
-    inner = keyed.select(hi, lo, *kept, size)
-    names = [hi, lo, *kept, size, part]
-    schema = T.StructType([*inner.schema.fields, T.StructField(part, T.IntegerType())])
-    placed = inner.mapInArrow(_placer(cuts, names), schema)
+    names = ["hi", "lo", "row", "weight", "part"]
+    schema = T.StructType([*keyed.select(*names[:4]).schema.fields, T.StructField("part", T.IntegerType())])
+    placed = keyed.select(*names[:4]).mapInArrow(_placer(cuts, names), schema)
     starts = {}
     for k, n in enumerate(before):
         starts.setdefault(k // each, n)
@@ -163,10 +163,9 @@ def with_shards(docs: DataFrame, n_shards: int = 40, text: str = "text", row_id:
     offsets = spark.createDataFrame([(k, int(b)) for k, b in enumerate(base)], "range_key int, range_base long")
     if len(base) <= 1_000_000:
         offsets = F.broadcast(offsets)
-    w = fresh_name(placed, "row_in_range")
-    ranked = placed.withColumn(w, F.row_number().over(Window.partitionBy(part).orderBy(hi, lo)).cast("long") - 1)
-    out = ranked.join(offsets, F.col(part) == F.col("range_key"))
-    return out.select(*kept, size, F.floor(F.col(part) / each).cast("int").alias(shard), (F.col("range_base") + F.col(w)).alias(slot))
+    ranked = placed.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("hi", "lo")).cast("long") - 1)
+    out = ranked.join(offsets, F.col("part") == F.col("range_key"))
+    return out.select("row.*", F.col("weight").alias(size), F.floor(F.col("part") / each).cast("int").alias(shard), (F.col("range_base") + F.col("place")).alias(slot))
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from walrill.llm.common import fresh_name, materialise, raw_texts, slices
+from walrill.llm.common import materialise, raw_texts, slices
 
 #: At most so many labelled rows train the classifier: those with the least hashes of their ids.
 TRAIN_ROWS = 40_000
@@ -346,12 +347,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text: str = "text") -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
-    from pyspark.sql import types as T
-
-    model = train(docs, labels)
-    name = fresh_name(docs, "toxic_score")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    scored = docs.mapInArrow(_scorer(model, docs.columns.index(text), [*docs.columns, name]), schema)
-    return scored.where(F.col(name) < limit).select(*docs.columns)
+    model = train(docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).alias("text")), labels)
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
+    return packed.mapInArrow(_scorer(model, 1, ["row", "score"]), schema).where(F.col("score") < limit).select("row.*")
