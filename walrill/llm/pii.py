@@ -88,8 +88,9 @@ def revealing_terms(contexts: DataFrame, docs: DataFrame, text: str = "text", di
     n_e = one.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
     n_et = one.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
     near = materialise(n_et.join(n_e, "entity"))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))).alias("term"))
-    df_t = words.join(near.select("term").distinct(), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    # Every word's document count, a row for each word after task-side counts; only then do the few near terms meet it.
+    words = docs.select(F.explode(F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= 4)).alias("term"))
+    df_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     n = docs.count()
     bits = lambda x: F.log2(x.cast("double"))
     told = bits(F.lit(n) * F.col("n_et")) - bits(F.col("n_e") * F.col("df_t"))
