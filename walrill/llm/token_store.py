@@ -24,7 +24,7 @@ from walrill.llm.common import BLOCK_BYTES, raw_texts, shared_dir, slices
 from walrill.llm.files import keep, mapped, open_folder
 
 #: Words whose ids a worker remembers, and the longest of them in bytes; beyond it starts afresh.
-REMEMBERED, LONGEST = 700_000, 48
+REMEMBERED, LONGEST = 1_300_000, 48
 #: A sentence mark behind an ASCII letter or digit is a token sequence of its own; the tokenizer's own pattern splits there.
 _MARKS = frozenset(b".,;:!?")
 
