@@ -49,15 +49,15 @@ def with_reason(events: DataFrame, name: str = "reason") -> DataFrame:
     return events.withColumn(name, F.coalesce(invalid_reason(), unappliable_reason()))
 
 
-def to_records(events: DataFrame) -> DataFrame:
-    """Transport records: key, JSON value, headers. Empty before, after and hints are left out, the key never is."""
+def to_records(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Transport records beside ``carry``: key, JSON value, headers. Empty before, after and hints are left out, the key never is."""
     skip = lambda c: F.when(_size(F.col(c)) > 0, F.col(c)).alias(c)
     body = F.struct("version", "id", "schema", "table", "operation", "key", skip("before"), skip("after"), "source", skip("unchanged_columns"))
     text = F.to_json(body, {"ignoreNullFields": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     # A null key is part of the document; null values inside rows are kept by the map writer.
     text = F.when(F.col("key").isNull(), F.regexp_replace(text, r"^\{(.*)\}$", r'{$1,"key":null}')).otherwise(text)
     headers = F.array(F.struct(F.lit("event_id").alias("key"), F.col("id").cast("binary").alias("value")), F.struct(F.lit("operation").alias("key"), F.col("operation").cast("binary").alias("value")))
-    return events.select(event_key(F.col("schema"), F.col("table"), F.col("key")).alias("key"), text.alias("value"), headers.alias("headers"))
+    return events.select(*carry, event_key(F.col("schema"), F.col("table"), F.col("key")).alias("key"), text.alias("value"), headers.alias("headers"))
 
 
 def from_records(records: DataFrame, carry: tuple[str, ...] = ("offset",)) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from walrill.functions.lsn import lsn_order, truncate_is_stale
 from walrill.functions.rows import ROW, empty_row, event_key, overlay
 from walrill.operators.ordered import running
+from walrill.storage import materialise
 
 STATE = f"`schema` string, `table` string, key string, lsn decimal(20,0), commit_time timestamp, cols {ROW}"
 WATERMARKS = "`schema` string, `table` string, watermark decimal(20,0)"
@@ -104,7 +105,10 @@ def fold(events: DataFrame, base: DataFrame | None = None, watermarks: DataFrame
     held = kept.select(*KEY, F.col("lsn").alias("_held"))
     guarded = running(changes, ["pos"], {"_high": ("max", F.col("lsn"))}, tuple(KEY), exclusive=True).join(held, KEY, "left")
     falls = F.col("lsn") < F.greatest(F.coalesce("_high", F.lit(-1)), F.coalesce("_held", F.lit(-1)))
-    slow = guarded.where(falls).select(*KEY).distinct()
+    # Several results come from here on, so the changes of the last epoch are written once instead of being worked out anew.
+    changes = materialise(guarded.select(*changes.columns, falls.alias("_falls")))
+    slow = changes.where("_falls").select(*KEY).distinct()
+    changes = changes.drop("_falls")
     exact = fold_exact(changes.join(slow, KEY, "left_semi"), kept.join(slow, KEY, "left_semi"))
     quick = changes.join(slow, KEY, "left_anti")
     fast = fold_fast(quick, kept.join(quick.select(*KEY).distinct(), KEY, "left_semi"))
