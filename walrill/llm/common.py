@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -11,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from walrill.storage import discard, materialise, remove, shared_dir  # noqa: F401
+
 #: A word is a maximal run of bytes outside these six (blank, tab, line feed, vertical tab, form feed, return).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -21,46 +21,13 @@ _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 
 
-# --- durable tables ---------------------------------------------------------------------------------------------
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; without that setting only a local master gets one of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = f"file:///tmp/checkpoints/{os.getpid()}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+# --- tables -----------------------------------------------------------------------------------------------------
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Writes ``df`` once as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._walrill_path = path
-    return out
-
-
-def discard(df: DataFrame | None) -> None:
-    """Removes a table that :func:`materialise` wrote, once nothing reads it any more."""
-    if path := getattr(df, "_walrill_path", None):
-        remove(df.sparkSession, path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (Spark compares without case)."""
     taken = {c.lower() for c in df.columns}

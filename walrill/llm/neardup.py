@@ -18,9 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from walrill.llm.common import discard, materialise, mix, raw_texts, shingle_sets, slices, windows
+from walrill.llm.common import discard, fresh_name, materialise, mix, raw_texts, shingle_sets, slices, windows
 from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
@@ -203,31 +202,20 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _named(column: int, fields: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, keys = raw_texts(b.column(column)), []
-            for a, z in slices(texts):
-                h, at = shingle_sets(texts[a:z])
-                keys.append(pa.array(set_keys(h, at).view(np.int64), pa.int64(), mask=np.diff(at) == 0))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.concat_arrays(keys) if keys else pa.array([], pa.int64())], names=fields)
-
-    return run
-
-
 def one_of_each(docs: DataFrame, percent: int = SIMILARITY_PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of linked rows the one with the least id, and every row without words.
 
-    Repeated rows are one group, so one of them stays; the columns are those of ``docs``."""
-    digests, found = near_groups(docs.select(F.col(row_id).alias("doc_id"), F.col(text).alias("text")), percent)
-    rows = digests.where("node is not null").join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "node")).alias("k")
-    keepers = materialise(rows.groupBy("group").agg(first).select(F.col("k.doc_id").alias("keep_id"), F.col("k.node").alias("keep_node")))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
-    schema = T.StructType([*packed.schema.fields, T.StructField("node", T.LongType())])
-    named = packed.mapInArrow(_named(2, [*packed.columns, "node"]), schema).drop("text")
-    kept = named.where("node is not null").join(keepers, (F.col("node") == F.col("keep_node")) & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates(["node"]).unionByName(named.where("node is null")).select("row.*")
+    Repeated rows are one group, so one of them stays; the columns are those of ``docs``. Rows are written once with a number of
+    their own, so that ids may be null or repeat and a later read finds the same rows."""
+    uid = fresh_name(docs, "row_uid")
+    rows = materialise(docs.withColumn(uid, F.monotonically_increasing_id()))
+    digests, found = near_groups(rows.select(F.col(uid).alias("doc_id"), F.col(text).alias("text")), percent)
+    ids = rows.select(F.col(uid).alias("doc_id"), F.col(row_id).cast("long").alias("id"))
+    grouped = digests.join(found, "node", "left").join(ids, "doc_id").withColumn("group", F.coalesce("component", "node"))
+    first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "doc_id")).alias("k")
+    keepers = grouped.where("group is not null").groupBy("group").agg(first).select(F.col("k.doc_id").alias("keep"))
+    keepers = materialise(keepers.unionByName(grouped.where("group is null").select(F.col("doc_id").alias("keep"))))
+    return rows.join(keepers, F.col(uid) == F.col("keep"), "left_semi").select(*docs.columns)
 
 
 NEAR_DUPLICATES_SQL = r"""

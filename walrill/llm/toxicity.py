@@ -327,12 +327,16 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
     return Model(trigrams, tables[2], curve)
 
 
-def _scorer(model: Model, column: int, fields: list[str]):
+def _scorer(model: Model, text_of, fields: list[str], keep: int):
+    """Appends scores of the texts that ``text_of`` finds in a batch to its first ``keep`` columns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model.table, Restorer(model.trigrams))
         for b in batches:
-            scores = model.scores(weights, _decode(raw_texts(b.column(column))))
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != column or len(fields) > b.num_columns), pa.array(scores)], names=fields)
+            texts, scores = raw_texts(text_of(b)), []
+            for a, z in slices(texts):
+                scores.append(model.scores(weights, _decode(texts[a:z])))
+            yield pa.RecordBatch.from_arrays([*b.columns[:keep], pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=fields)
 
     return run
 
@@ -343,13 +347,14 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Equal texts have equal scores; rows with null or repeated ids count each for itself."""
     model = train(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of("doc_id") == 0).alias("held_out"), "text")
-    scored = rows.mapInArrow(_scorer(model, 2, ["doc_id", "held_out", "score"]), "doc_id long, held_out boolean, score double")
+    scored = rows.mapInArrow(_scorer(model, lambda b: b.column(2), ["doc_id", "held_out", "score"], 2), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
     model = train(docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).alias("text")), labels)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    at = docs.columns.index(text)
     schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(_scorer(model, 1, ["row", "score"]), schema).where(F.col("score") < limit).select("row.*")
+    return packed.mapInArrow(_scorer(model, lambda b: b.column(0).field(at), ["row", "score"], 1), schema).where(F.col("score") < limit).select("row.*")
