@@ -12,6 +12,7 @@ from walrill.functions.rows import has
 from walrill.operators import fold, registry as reg
 from walrill.operators.envelope import with_reason
 from walrill.operators.ordered import running
+from walrill.storage import materialise
 
 DEAD_LETTERS = "event_id string, `schema` string, `table` string, operation string, key map<string,string>, before map<string,string>, after map<string,string>, unchanged_columns array<string>, source_lsn string, source_commit_time timestamp, reason string, occurred_at timestamp"
 SETTINGS = "name string, value string"
@@ -63,16 +64,17 @@ def apply_batch(events: DataFrame, state: State, at=None, check_types: bool = Tr
     judged = with_reason(events)
     # An id that is missing can't be marked or looked up; such events are told apart by position.
     judged = judged.withColumn("id", F.when(F.coalesce("id", F.lit("")) == "", F.concat(F.lit("unnamed:"), F.col("pos"))).otherwise(F.col("id")))
-    new = fold.fresh(judged, state.markers)
+    # Checks, letters, markers and the fold all start from the fresh events, so these are written once.
+    new = materialise(fold.fresh(judged, state.markers))
     flat = fold.flat(new.where("reason is null"))
     if check_types:
-        refusals = reg.poison(flat, state.registry)
+        refusals = materialise(reg.poison(flat, state.registry))
         flat_ok = flat.join(refusals.select("id"), "id", "left_anti")
-        refusals = refusals.unionByName(_absent_rows(flat_ok, state.rows, state.registry))
+        refusals = materialise(refusals.unionByName(_absent_rows(flat_ok, state.rows, state.registry)))
     else:
         refusals = events.sparkSession.createDataFrame([], "id string, reason string")
     refused = new.where("reason is not null").unionByName(new.where("reason is null").drop("reason").join(refusals, "id").select(*new.columns))
-    good = flat.join(refused.select("id"), "id", "left_anti")
+    good = flat.join(refusals.select("id"), "id", "left_anti")
     rows, watermarks = fold.fold(good, state.rows, state.watermarks)
     marks = fold.markers_of(good).unionByName(refused.select("id", lsn_order(F.col("source.commit_lsn")).alias("lsn")))
     letters = dead_letters_of(refused, at)

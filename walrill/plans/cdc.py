@@ -347,7 +347,7 @@ def cdc_lsn_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", lsn_order(lsn_text(F.col("n"))).cast("bigint").alias("n"), lsn_text(F.col("n")).alias("lsn"))
 
 
-@_query("""SELECT p_partkey, p_size % 2 = 0 AS flag, CASE WHEN p_partkey % 5 > 0 THEN p_size END AS size, [p_size, p_size + 1] AS sizes, p_brand || ',"x"' AS quoted_item, p_size AS range_from, p_partkey % 3 > 0 AS upper_open, 90000 * p_size AS seconds,
+@_query("""SELECT p_partkey, p_size % 2 = 0 AS flag, CASE WHEN p_partkey % 5 > 0 THEN p_size::VARCHAR END AS size, p_size || '+' || (p_size + 1) AS sizes, p_brand || ',"x"' AS quoted_item, p_size AS range_from, p_partkey % 3 > 0 AS upper_open, 90000 * p_size AS seconds,
  CASE WHEN p_partkey % 4 > 0 THEN 'deadbeef' END AS bytes, CASE WHEN p_size < 25 THEN 'small' END AS mood FROM part""")
 def cdc_typed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire text typed by destination types; what a type refuses is null."""
@@ -359,7 +359,7 @@ def cdc_typed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = interval_of(F.concat(size, F.lit(" days "), size, F.lit(":00:00")))
     raw = typed(F.when(F.col("p_partkey") % 4 > 0, F.lit("\\xdeadbeef")).otherwise("deadbeef"), "bytea")
     mood = typed(F.when(F.col("p_size") < 25, "small").otherwise("huge"), "mood", ["small", "large"])
-    return p.select("p_partkey", typed(F.when(F.col("p_size") % 2 == 0, "t").otherwise("f"), "boolean").alias("flag"), typed(number, "integer").alias("size"), typed(array, "integer[]").alias("sizes"), typed(texts, "text[]")[0].alias("quoted_item"), spread["lower"].cast("int").alias("range_from"), (~spread["upper_inc"]).alias("upper_open"), _seconds(hours).alias("seconds"), F.lower(F.hex(raw)).alias("bytes"), mood.alias("mood"))
+    return p.select("p_partkey", typed(F.when(F.col("p_size") % 2 == 0, "t").otherwise("f"), "boolean").alias("flag"), typed(number, "integer").cast("string").alias("size"), F.array_join(typed(array, "integer[]").cast("array<string>"), "+").alias("sizes"), typed(texts, "text[]")[0].alias("quoted_item"), spread["lower"].cast("int").alias("range_from"), (~spread["upper_inc"]).alias("upper_open"), _seconds(hours).alias("seconds"), F.lower(F.hex(raw)).alias("bytes"), mood.alias("mood"))
 
 
 def _seconds(interval):
