@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -24,7 +26,14 @@ _ODD = _U(0x9E3779B97F4A7C15)
 # --- tables -----------------------------------------------------------------------------------------------------
 
 
+#: Rows of an arrow batch, unless the session says otherwise: texts are long, and a worker holds a batch at a time.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,8 +48,19 @@ def fresh_name(df: DataFrame, name: str) -> str:
 # --- arrow ------------------------------------------------------------------------------------------------------
 
 
-def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving memory back to the system when a task ends: workers live on and idle beside the next stage's."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return wrapped
 
 
 def raw_texts(column: pa.Array) -> list[bytes | None]:

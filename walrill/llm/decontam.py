@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import fresh_name, materialise, raw_texts, shingle_sets, slices
+from walrill.llm.common import fresh_name, frugal, materialise, raw_texts, shingle_sets, slices
 
 CONTAINMENT_PERCENT = 80
 #: Shingles of items that one pass over the documents takes to the tasks: 32 MB at most, whatever the number of items.
@@ -86,7 +86,7 @@ def _searcher(items: list[tuple[int | None, bytes]], percent: int):
 
 
 def _blocks(items: DataFrame, block_shingles: int) -> Iterator[list[tuple[int | None, bytes]]]:
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(_sets, "item_id long, shingles binary").where(F.octet_length("shingles") > 0)
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(frugal(_sets), "item_id long, shingles binary").where(F.octet_length("shingles") > 0)
     block, held = [], 0
     for r in rows.toLocalIterator():
         if block and held + len(r["shingles"]) // 8 > block_shingles:
@@ -113,7 +113,7 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = CONTAINMEN
         if first is not None:
             done = materialise(first)
             out = done if out is None else out.unionByName(done)
-        first = narrow.mapInArrow(_searcher(block, percent), schema)
+        first = narrow.mapInArrow(frugal(_searcher(block, percent)), schema)
     if first is None:
         return spark.createDataFrame([], schema)
     return first if out is None else out.unionByName(first)
@@ -137,7 +137,7 @@ def without_items(docs: DataFrame, items: DataFrame, percent: int = CONTAINMENT_
     """The rows of ``docs`` that contain no item, whatever their ids and other columns; see :func:`contained_items`."""
     out = docs
     for block in _blocks(items, block_shingles):
-        out = out.mapInArrow(_clean(block, percent, docs.columns.index(text)), docs.schema)
+        out = out.mapInArrow(frugal(_clean(block, percent, docs.columns.index(text))), docs.schema)
     return out
 
 

@@ -15,6 +15,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from walrill.llm.common import frugal
+
 #: Elements without content, elements whose content is not markup, elements that are dropped whole (fixed values).
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
@@ -316,4 +318,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each row of ``pages`` (page_id, url, html); no shuffle.
 
     Null and empty html give an empty text; null or repeated ids and urls are passed on; other columns are left out."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extract, pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))
+    return pages.select("page_id", "url", "html").mapInArrow(frugal(_extract), pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long"))

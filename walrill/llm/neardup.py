@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import discard, fresh_name, materialise, mix, raw_texts, shingle_sets, slices, windows
+from walrill.llm.common import discard, fresh_name, frugal, materialise, mix, raw_texts, shingle_sets, slices, windows
 from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
@@ -167,7 +167,7 @@ def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int =
 
     Node is the text's set of shingles (null: no words), component the least node reachable over links."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = materialise(narrow.mapInArrow(_digest(bands, rows), "doc_id long, n_shingles long, node long, bands array<long>"))
+    digests = materialise(narrow.mapInArrow(frugal(_digest(bands, rows)), "doc_id long, n_shingles long, node long, bands array<long>"))
     clusters = materialise(_clusters(digests))
     nodes = digests.drop("bands").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     nodes = materialise(nodes)
@@ -178,7 +178,7 @@ def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int =
     table = bit_table(materialise(nodes.select(F.xxhash64("rep"))))
     if table is None:
         return digests.drop("bands"), clusters
-    near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(_known(table), "doc_id long, text string")
+    near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(frugal(_known(table)), "doc_id long, text string")
     texts = near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "component", "own", "text", F.explode(others).alias("other"))
     blocks = texts.groupBy("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     links = materialise(blocks.applyInArrow(_verify(percent), "a long, b long"))

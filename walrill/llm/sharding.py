@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walrill.llm.common import fresh_name, materialise
+from walrill.llm.common import fresh_name, frugal, materialise
 
 HALF = 1 << 63
 #: Fixed bytes that count for each row besides its text.
@@ -68,7 +68,7 @@ def histogram(keys: DataFrame, probes: list[int]) -> list[tuple[int, int, int, i
 
     Each task sends a row for each range that it met, so the driver receives a bounded summary, never keys of rows."""
     out = [(0, 0, 1, 0)] * (len(probes) + 1)
-    part = keys.mapInArrow(_counter(probes), "bin long, bytes long, rows long, low string, high string")
+    part = keys.mapInArrow(frugal(_counter(probes)), "bin long, bytes long, rows long, low string, high string")
     for r in part.groupBy("bin").agg(F.sum("bytes").alias("b"), F.sum("rows").alias("n"), F.min("low").alias("l"), F.max("high").alias("h")).collect():
         out[r["bin"]] = (r["b"], r["n"], int(r["l"], 16), int(r["h"], 16))
     return out
@@ -153,7 +153,7 @@ def with_shards(docs: DataFrame, n_shards: int = 40, text: str = "text", row_id:
     cuts, before = splitters(narrow, n_shards * each)
     names = ["hi", "lo", "row", "weight", "part"]
     schema = T.StructType([*keyed.select(*names[:4]).schema.fields, T.StructField("part", T.IntegerType())])
-    placed = keyed.select(*names[:4]).mapInArrow(_placer(cuts, names), schema)
+    placed = keyed.select(*names[:4]).mapInArrow(frugal(_placer(cuts, names)), schema)
     starts = {}
     for k, n in enumerate(before):
         starts.setdefault(k // each, n)

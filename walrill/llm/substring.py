@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import BLOCK_BYTES, discard, materialise, raw_texts, slices, windows, word_hashes
+from walrill.llm.common import BLOCK_BYTES, discard, frugal, materialise, raw_texts, slices, windows, word_hashes
 from walrill.llm.files import bit_table, maybe_in
 
 WINDOW, GRAM = 20, 8
@@ -80,7 +80,7 @@ def _anchor_rows(window: int, gram: int):
 
 def _repeated_anchors(texts: DataFrame, window: int, gram: int) -> tuple[int, str] | None:
     """The bit table of anchors that occur twice or more (bits, file), or None if none does."""
-    counted = texts.mapInArrow(_anchor_rows(window, gram), "anchor long, n byte").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    counted = texts.mapInArrow(frugal(_anchor_rows(window, gram)), "anchor long, n byte").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     counted = materialise(counted)
     table = bit_table(counted)
     discard(counted)
@@ -192,9 +192,9 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM)
     found = _repeated_anchors(docs.select("text"), window, gram)
     if found is None:
         return spark.createDataFrame([], "doc_id long, low int, high int")
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(_candidates(window, gram, found), _ROWS))
+    rows = materialise(docs.select("doc_id", "text").mapInArrow(frugal(_candidates(window, gram, found)), _ROWS))
     open_rows = rows.where("kind = 0").select("anchor", "doc_id", "low", "hashes", "starts")
-    settled = open_rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_resolve(window), "doc_id long, low int, high int")
+    settled = open_rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(frugal(_resolve(window)), "doc_id long, low int, high int")
     return settled.unionByName(rows.where("kind = 1").select("doc_id", "low", "high"))
 
 
@@ -240,7 +240,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     spans = repeated_intervals(narrow, window, gram)
     by_doc = spans.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     joined = narrow.join(by_doc, F.col("doc_id").eqNullSafe(F.col("span_id")), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_removed, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.mapInArrow(frugal(_removed), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 SUBSTRING_SQL = r"""

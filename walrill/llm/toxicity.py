@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from walrill.llm.common import materialise, raw_texts, slices
+from walrill.llm.common import frugal, materialise, raw_texts, slices
 
 #: At most so many labelled rows train the classifier: those with the least hashes of their ids.
 TRAIN_ROWS = 40_000
@@ -84,7 +84,7 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     Every task sends its counts, at most as many rows as the table has; Witten-Bell weights join the orders 3 to 0."""
     counts = np.zeros(SYMBOLS**3)
-    for r in docs.select(text).mapInArrow(_trigrams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select(text).mapInArrow(frugal(_trigrams), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         counts[r["gram"]] = r["n"]
     three = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
     two, one = three.sum(axis=0), three.sum(axis=(0, 1))
@@ -157,7 +157,7 @@ class Restorer:
         if words is None:
             words = self._of_token(token)
             if len(token) <= 64:
-                if len(self.known) > 300_000:
+                if len(self.known) > 150_000:
                     self.known.clear()
                 self.known[token] = words
         return words
@@ -221,7 +221,7 @@ class Weights:
         else:
             found = {x: w for x in self.restorer.of(token) if (w := self.of(x)) > 0} or None
         if len(token) <= 64:
-            if len(self.known) > 400_000:
+            if len(self.known) > 250_000:
                 self.known.clear()
             self.known[token] = found
         return found
@@ -300,7 +300,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
     n = {y: [sizes.get((y, f), 0) for f in (0, 1)] for y in (0, 1)}
     if not sum(n[0]) or not sum(n[1]):
         return Model(trigrams, {}, np.array([-30.0, 0, 0, 0]))
-    counts = rows.mapInArrow(_word_counts(trigrams), "word string, n0 long, n1 long, n2 long, n3 long")
+    counts = rows.mapInArrow(frugal(_word_counts(trigrams)), "word string, n0 long, n1 long, n2 long, n3 long")
     four = [f"n{k}" for k in range(4)]
     counts = materialise(counts.groupBy("word").agg(*(F.sum(k).alias(k) for k in four)))
     # Counts on the side of the toxic class beyond its share of texts.
@@ -322,7 +322,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
             if w > 0.5:
                 table[r["feature"]] = w
     # Each fold's evidence comes from the other fold's weights: three numbers for each of at most train_rows rows.
-    seen = rows.mapInArrow(_evidence(trigrams, tables[:2]), "toxic int, x0 double, x1 double, x2 double").toPandas()
+    seen = rows.mapInArrow(frugal(_evidence(trigrams, tables[:2])), "toxic int, x0 double, x1 double, x2 double").toPandas()
     curve = fit_logistic(seen[["x0", "x1", "x2"]].to_numpy(), seen["toxic"].to_numpy())
     return Model(trigrams, tables[2], curve)
 
@@ -347,7 +347,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Equal texts have equal scores; rows with null or repeated ids count each for itself."""
     model = train(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of("doc_id") == 0).alias("held_out"), "text")
-    scored = rows.mapInArrow(_scorer(model, lambda b: b.column(2), ["doc_id", "held_out", "score"], 2), "doc_id long, held_out boolean, score double")
+    scored = rows.mapInArrow(frugal(_scorer(model, lambda b: b.column(2), ["doc_id", "held_out", "score"], 2)), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -357,4 +357,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text:
     packed = docs.select(F.struct(*docs.columns).alias("row"))
     at = docs.columns.index(text)
     schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(_scorer(model, lambda b: b.column(0).field(at), ["row", "score"], 1), schema).where(F.col("score") < limit).select("row.*")
+    return packed.mapInArrow(frugal(_scorer(model, lambda b: b.column(0).field(at), ["row", "score"], 1)), schema).where(F.col("score") < limit).select("row.*")
