@@ -22,9 +22,10 @@ def transactions(events: DataFrame) -> DataFrame:
 
 
 def split_complete(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(events of complete transactions, events to hold until the rest arrives)."""
-    whole = transactions(events).where("complete").select(*TXN)
-    return events.join(whole, list(TXN), "left_semi"), events.join(whole, list(TXN), "left_anti")
+    """(events of complete transactions, events to hold until the rest arrives), for envelope events or flat ones."""
+    flat = events if TXN[0] in events.columns else events.withColumns({c: F.col(f"source.{c}") for c in (*TXN, "sequence", "transaction_event_count")})
+    whole = transactions(flat).where("complete").select(*TXN)
+    return tuple(flat.join(whole, list(TXN), kind).select(*events.columns) for kind in ("left_semi", "left_anti"))
 
 
 def sequence_faults(events: DataFrame) -> DataFrame:
