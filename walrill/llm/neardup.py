@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walrill.llm.common import discard, fresh_name, frugal, materialise, mix, raw_texts, shingle_sets, slices, windows
+from walrill.llm.common import discard, frugal, materialise, mix, raw_texts, shingle_sets, slices, windows
 from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
@@ -85,7 +85,7 @@ def _digest(bands: int, rows: int):
                 full = np.flatnonzero(n)
                 keys = band_keys(sketches(h, np.append(at[:-1][full], len(h)), bands * rows), bands, rows).view(np.int64)
                 offsets = np.concatenate([[0], np.cumsum((n > 0) * bands)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n, pa.int64()), pa.array(set_keys(h, at).view(np.int64), pa.int64(), mask=n == 0), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["doc_id", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), pa.array(n, pa.int64()), pa.array(set_keys(h, at).view(np.int64), pa.int64(), mask=n == 0), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())), b.column(2).slice(a, z - a)], names=["doc_id", "n_shingles", "node", "bands", "text_key"])
 
     return run
 
@@ -163,13 +163,14 @@ def _known(table: tuple[int, str]):
 
 
 def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Digests (doc_id, n_shingles, node) of all rows of ``docs`` (doc_id, text), and (node, component) of all linked nodes.
+    """Digests (doc_id, n_shingles, node, bands, text_key) of all rows of ``docs`` (doc_id, text), and (node, component) of all linked nodes.
 
     Node is the text's set of shingles (null: no words), component the least node reachable over links."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = materialise(narrow.mapInArrow(frugal(_digest(bands, rows)), "doc_id long, n_shingles long, node long, bands array<long>"))
+    keyed = narrow.withColumn("text_key", F.xxhash64("text"))
+    digests = materialise(keyed.mapInArrow(frugal(_digest(bands, rows)), "doc_id long, n_shingles long, node long, bands array<long>, text_key long"))
     clusters = materialise(_clusters(digests))
-    nodes = digests.drop("bands").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
+    nodes = digests.select("doc_id", "n_shingles", "node").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     nodes = materialise(nodes)
     sizes = nodes.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
     placed = nodes.join(sizes, "component").select("node", "component", "rep", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("own"))
@@ -177,7 +178,7 @@ def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int =
     # Only texts of candidates move: a bit table of their ids, of bounded size, drops nearly all others before the join.
     table = bit_table(materialise(nodes.select(F.xxhash64("rep"))))
     if table is None:
-        return digests.drop("bands"), clusters
+        return digests, clusters
     near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(frugal(_known(table)), "doc_id long, text string")
     texts = near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "component", "own", "text", F.explode(others).alias("other"))
     blocks = texts.groupBy("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
@@ -185,7 +186,7 @@ def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int =
     found = materialise(components(links))
     discard(clusters)
     discard(nodes)
-    return digests.drop("bands"), found
+    return digests, found
 
 
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
@@ -205,17 +206,19 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
 def one_of_each(docs: DataFrame, percent: int = SIMILARITY_PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of linked rows the one with the least id, and every row without words.
 
-    Repeated rows are one group, so one of them stays; the columns are those of ``docs``. Rows are written once with a number of
-    their own, so that ids may be null or repeat and a later read finds the same rows."""
-    uid = fresh_name(docs, "row_uid")
-    rows = materialise(docs.withColumn(uid, F.monotonically_increasing_id()))
-    digests, found = near_groups(rows.select(F.col(uid).alias("doc_id"), F.col(text).alias("text")), percent)
-    ids = rows.select(F.col(uid).alias("doc_id"), F.col(row_id).cast("long").alias("id"))
-    grouped = digests.join(found, "node", "left").join(ids, "doc_id").withColumn("group", F.coalesce("component", "node"))
-    first = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "doc_id")).alias("k")
-    keepers = grouped.where("group is not null").groupBy("group").agg(first).select(F.col("k.doc_id").alias("keep"))
-    keepers = materialise(keepers.unionByName(grouped.where("group is null").select(F.col("doc_id").alias("keep"))))
-    return rows.join(keepers, F.col(uid) == F.col("keep"), "left_semi").select(*docs.columns)
+    Repeated rows are one group, so one of them stays; the columns are those of ``docs``. Rows are known by id and
+    text, so ids may be null or repeat."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
+    digests, found = near_groups(packed.select(F.col("id").alias("doc_id"), "text"), percent)
+    grouped = digests.join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("text_key").alias("t"))).alias("k")
+    keepers = materialise(grouped.where("group is not null").groupBy("group").agg(first).select("k.*"))
+    discard(digests)
+    discard(found)
+    keyed = packed.select("row", F.col("id").isNull().alias("z"), F.coalesce("id", F.lit(0)).alias("i"), F.xxhash64("text").alias("t"), (~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("blank"))
+    # Rows that repeat a keeper meet it by the same keys as the join, so no further exchange is needed to leave one of them.
+    kept = keyed.where("not blank").join(keepers, ["z", "i", "t"], "left_semi").dropDuplicates(["z", "i", "t"])
+    return kept.unionByName(keyed.where("blank")).select("row.*")
 
 
 NEAR_DUPLICATES_SQL = r"""
