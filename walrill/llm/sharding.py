@@ -26,10 +26,10 @@ def _below(probes: list[int], hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
     """For each key how many of the sorted 128-bit probes are at or below it."""
     p_hi = np.array([p >> 64 for p in probes], np.uint64)
     p_lo = np.array([p & (2**64 - 1) for p in probes], np.uint64)
-    out = np.searchsorted(p_hi, hi, "left")
-    last = np.searchsorted(p_hi, hi, "right")
-    for at in np.unique(out[last > out]) if len(p_hi) else ():
-        rows = np.flatnonzero((out == at) & (last > out))
+    first, last = np.searchsorted(p_hi, hi, "left"), np.searchsorted(p_hi, hi, "right")
+    out = first.copy()
+    for at in np.unique(first[last > first]) if len(p_hi) else ():
+        rows = np.flatnonzero((first == at) & (last > first))
         out[rows] = at + np.searchsorted(p_lo[at : last[rows[0]]], lo[rows], "right")
     return out
 
@@ -140,17 +140,24 @@ def with_shards(docs: DataFrame, n_shards: int = 40, text: str = "text", row_id:
     """``docs`` with ``size`` (UTF-8 bytes of the text plus 16; 16 for null), ``shard`` and ``slot`` (gapless from 0 in each shard).
 
     Law ``bytes``: shards hold near-equal sums of ``size``. Null ids and texts, empty texts and repeated rows are rows like
-    any other. An empty table gives an empty result. New names get underscores in front where ``docs`` already has them.
+    any other; without ``carry`` rows with equal ids and texts are not parted by a boundary. An empty table gives an empty result. New names get underscores in front where ``docs`` already has them.
     ``carry`` names the columns to move with each row (all by default). A shard is dealt out as several ranges of at most about ``part_bytes`` and ``part_rows`` each, so no task holds a shard."""
     kept = docs.columns if carry is None else carry
     size, shard, slot = (fresh_name(docs.select(*kept), n) for n in ("size", "shard", "slot"))
     # Everything that comes along is one struct, so no column of the input meets one of the columns below.
-    keyed = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("text"), F.col(row_id).alias("row_id"), F.monotonically_increasing_id().alias("uid"))
-    keyed = keyed.select("row", F.xxhash64(F.lit(1), F.col("text")).alias("hi"), F.xxhash64("row_id", "uid").alias("lo"), (F.coalesce(F.octet_length(F.col("text")), F.lit(0)).cast("long") + ROW_BYTES).alias("weight"))
-    narrow = materialise(keyed.select("hi", "lo", "weight"))
-    total, rows, _, _ = histogram(narrow, [])[0]
+    weight = (F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + ROW_BYTES).alias("weight")
+    hi = F.xxhash64(F.lit(1), F.col(text)).alias("hi")
+    if carry is None:
+        # Rows are read again for the exchange, so their keys come from their contents alone; rows with equal ids and texts tie.
+        keyed = docs.select(F.struct(*kept).alias("row"), hi, F.xxhash64(F.lit(2), F.col(row_id)).alias("lo"), weight)
+        narrow = materialise(keyed.select("hi", "lo", "weight"))
+    else:
+        # What little comes along is written with its keys, so even rows that are equal in all get keys of their own.
+        lo = F.xxhash64(F.lit(2), F.col(row_id), F.monotonically_increasing_id()).alias("lo")
+        keyed = narrow = materialise(docs.select(F.struct(*kept).alias("row"), hi, lo, weight))
+    total, rows, _, _ = histogram(narrow.select("hi", "lo", "weight"), [])[0]
     each = max(1, -(-total // (n_shards * part_bytes)), -(-rows // (n_shards * part_rows)))
-    cuts, before = splitters(narrow, n_shards * each)
+    cuts, before = splitters(narrow.select("hi", "lo", "weight"), n_shards * each)
     names = ["hi", "lo", "row", "weight", "part"]
     schema = T.StructType([*keyed.select(*names[:4]).schema.fields, T.StructField("part", T.IntegerType())])
     placed = keyed.select(*names[:4]).mapInArrow(frugal(_placer(cuts, names)), schema)
