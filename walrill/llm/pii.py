@@ -76,7 +76,9 @@ def _contexts(found: DataFrame, texts: DataFrame) -> DataFrame:
     right = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"\S+$", "")).otherwise(right)
     words = F.concat(F.regexp_extract_all(F.lower(left), F.lit(TERM), F.lit(0)), F.regexp_extract_all(F.lower(right), F.lit(TERM), F.lit(0)))
     entity = F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1), F.when(F.col("kind") == 0, F.lower("value")).when(F.col("kind") == 1, F.col("value")).otherwise(_digits(F.col("value"))))
-    return joined.select("uid", entity.alias("entity"), words.alias("words")).select("uid", "entity", F.xxhash64("words").alias("context"), F.array_distinct("words").alias("terms"))
+    # Two occurrences stand in one context if the words right beside them are the same: true of copies, edited elsewhere or not.
+    beside = F.xxhash64(F.regexp_extract(F.lower(left), r"(\S+)\s*$", 1), F.regexp_extract(F.lower(right), r"^\s*(\S+)", 1))
+    return joined.select("uid", entity.alias("entity"), beside.alias("context"), F.array_distinct(words).alias("terms"))
 
 
 def revealing_terms(contexts: DataFrame, docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -84,9 +86,10 @@ def revealing_terms(contexts: DataFrame, docs: DataFrame, text: str = "text", di
 
     All counts are over the whole corpus and pre-aggregated before each exchange; a frequent entity or term is a key with
     many rows only until its task-side counts are made."""
-    one = contexts.select("entity", "context", "terms").dropDuplicates(["entity", "context"])
-    n_e = one.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
-    n_et = one.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
+    n_e = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
+    # Terms of entities with contexts enough, each context once.
+    near = contexts.join(n_e.select("entity"), "entity", "left_semi").select("entity", "context", F.explode("terms").alias("term")).distinct()
+    n_et = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
     near = materialise(n_et.join(n_e, "entity"))
     # Every word's document count, a row for each word after task-side counts; only then do the few near terms meet it.
     words = docs.select(F.explode(F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= 4)).alias("term"))
