@@ -98,15 +98,15 @@ def _runs(doc: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray,
 
 
 #: Kind 0: an anchor occurrence with packed window hashes from ``low``; kind 1: the words [low, high) go.
-_ROWS = "kind byte, doc_id long, low int, high int, anchor long, hashes binary, starts binary"
+_ROWS = "kind byte, doc_id long, row_key long, low int, high int, anchor long, hashes binary, starts binary"
 
 
 def _candidates(window: int, gram: int, table: tuple[int, str]):
-    names = ["kind", "doc_id", "low", "high", "anchor", "hashes", "starts"]
+    names = ["kind", "doc_id", "row_key", "low", "high", "anchor", "hashes", "starts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, ids = raw_texts(b.column(1)), b.column(0)
+            texts, ids, keys = raw_texts(b.column(1)), b.column(0), b.column(2)
             missing = ids.is_null().to_numpy(zero_copy_only=False)
             # Null ids come after all others.
             value = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -125,7 +125,7 @@ def _candidates(window: int, gram: int, table: tuple[int, str]):
                 doc, low, high = _runs(text[later], start[later], window)
                 if len(doc):
                     n = len(doc)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), ids.take(pa.array(doc)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), ids.take(pa.array(doc)), keys.take(pa.array(doc)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=names)
                 first = first[np.lexsort((start[first], text[first], anchor[first]))]
                 if len(first):
                     t, st, hh, an = text[first], start[first], h[first], anchor[first]
@@ -136,17 +136,17 @@ def _candidates(window: int, gram: int, table: tuple[int, str]):
                     packed = pa.BinaryArray.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(hh.tobytes())])
                     where = pa.BinaryArray.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer((offsets * 2).astype(np.int32)), pa.py_buffer(spots.tobytes())])
                     n = len(cut)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), ids.take(pa.array(t[cut])), pa.array(st[cut].astype(np.int32)), pa.nulls(n, pa.int32()), pa.array(an[cut].view(np.int64)), packed, where], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), ids.take(pa.array(t[cut])), keys.take(pa.array(t[cut])), pa.array(st[cut].astype(np.int32)), pa.nulls(n, pa.int32()), pa.array(an[cut].view(np.int64)), packed, where], names=names)
 
     return run
 
 
 def _resolve(window: int):
     """Of rows sorted by anchor: marks all windows but the earliest of each hash, an anchor's rows at a time."""
-    names = ["doc_id", "low", "high"]
+    names = ["doc_id", "row_key", "low", "high"]
 
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids, low, packed, spots = zip(*rows, strict=True)
+        ids, keys, low, packed, spots = zip(*rows, strict=True)
         sizes = [len(p) // 8 for p in packed]
         h = np.frombuffer(b"".join(packed), np.uint64)
         start = np.frombuffer(b"".join(spots), "<u2").astype(np.int64) + np.repeat(np.array(low, np.int64), sizes)
@@ -162,7 +162,7 @@ def _resolve(window: int):
             # Rows of the same document meet again later; intervals are merged there.
             keep = order[gone][np.lexsort((start[order[gone]], row[order[gone]]))]
             doc, a, z = _runs(row[keep], start[keep], window)
-            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in doc], pa.int64()), pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in doc], pa.int64()), pa.array([keys[i] for i in doc], pa.int64()), pa.array(a.astype(np.int32)), pa.array(z.astype(np.int32))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -187,15 +187,15 @@ def _resolve(window: int):
 
 
 def repeated_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Word intervals (doc_id, low, high) of ``docs`` (doc_id, text) to remove; those of one document may overlap."""
+    """Word intervals (doc_id, row_key, low, high) of ``docs`` (doc_id, text, row_key) to remove; those of one row may overlap."""
     spark = docs.sparkSession
     found = _repeated_anchors(docs.select("text"), window, gram)
     if found is None:
-        return spark.createDataFrame([], "doc_id long, low int, high int")
-    rows = materialise(docs.select("doc_id", "text").mapInArrow(frugal(_candidates(window, gram, found)), _ROWS))
-    open_rows = rows.where("kind = 0").select("anchor", "doc_id", "low", "hashes", "starts")
-    settled = open_rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(frugal(_resolve(window)), "doc_id long, low int, high int")
-    return settled.unionByName(rows.where("kind = 1").select("doc_id", "low", "high"))
+        return spark.createDataFrame([], "doc_id long, row_key long, low int, high int")
+    rows = materialise(docs.select("doc_id", "text", "row_key").mapInArrow(frugal(_candidates(window, gram, found)), _ROWS))
+    open_rows = rows.where("kind = 0").select("anchor", "doc_id", "row_key", "low", "hashes", "starts")
+    settled = open_rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(frugal(_resolve(window)), "doc_id long, row_key long, low int, high int")
+    return settled.unionByName(rows.where("kind = 1").select("doc_id", "row_key", "low", "high"))
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -234,12 +234,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     """doc_id, n_words, n_removed and kept_sha256 of each row of ``docs`` (doc_id, text).
 
     Null and empty texts have no words and texts of fewer than ``window`` words no window. Documents come in ascending
-    order of id, null last. Rows that share an id are one document's texts side by side: a window goes if an equal one has a
-    smaller (id, start), so repeated rows keep the same words, and what goes from one goes from all of that id."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    order of id, null last. A window goes if an equal one has a smaller (id, start), so repeated rows, which tie, keep the same
+    words; rows that share an id or have none are told apart by their texts."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
     spans = repeated_intervals(narrow, window, gram)
-    by_doc = spans.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = narrow.join(by_doc, F.col("doc_id").eqNullSafe(F.col("span_id")), "left").select("doc_id", "text", "spans")
+    by_row = spans.groupBy(F.col("doc_id").alias("span_id"), F.col("row_key").alias("span_key")).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    joined = narrow.join(by_row, F.col("doc_id").eqNullSafe(F.col("span_id")) & (F.col("row_key") == F.col("span_key")), "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(frugal(_removed), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
