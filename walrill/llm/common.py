@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -31,7 +34,20 @@ BATCH_ROWS = 2_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def _ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers unless their path has it, once for each Spark context."""
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    there = {os.path.realpath(p) for p in (*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()) if p}
+    if os.path.realpath(root) in there or getattr(context, "_walrill_shipped", False) or not os.path.isdir(root):
+        return
+    context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "walrill"), "zip", root, "walrill"))
+    context._walrill_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the input tables. Also readies the session for the operators: the package, and batches of bounded size."""
+    _ship(spark)
     if spark.conf.get(_BATCH, None) is None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
