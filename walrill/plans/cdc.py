@@ -131,7 +131,7 @@ SELECT uid, kind, cents, lsn, (SELECT wm FROM l) AS watermark FROM r WHERE n = 1
 def cdc_truncate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table behind its last effective truncate, with the new watermark."""
     state, marks = fold.fold(fold.fresh(_with_truncates(spark, sf_dir)))
-    return _users(state).crossJoin(F.broadcast(marks.limit(1))).select("uid", "kind", "cents", "lsn", F.col("watermark").cast("bigint").alias("watermark"))
+    return state.join(marks, fold.TABLE).select(_cell("uid"), _cell("kind"), _cell("cents"), F.col("lsn").cast("bigint").alias("lsn"), F.col("watermark").cast("bigint").alias("watermark"))
 
 
 @_query("""WITH {b}, x AS (SELECT pos, lsn, uid, pos % 13 = 0 AND kind <> 'error' AS bad, pos % 19 = 0 AS invalid FROM b)
