@@ -23,7 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    # Not the default codec: its direct buffers stay until the collector comes by, which adds up over many files.
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._walrill_path = path
     return out
