@@ -16,8 +16,8 @@ def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the least id."""
-    return neardup.one_of_each(docs)
+    """One document of each group of near-duplicates (a similarity of 0.8 or more) stays, the one with the least id."""
+    return neardup.one_of_each(docs, percent=80)
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,18 @@ def test_stages_take_odd_tables(spark):
             if name == "near_duplicates":
                 assert now.count() == n
         assert now.columns[:5] == docs.columns
+
+
+def test_near_duplicates_from_a_similarity_of_080(spark):
+    docs = table(spark, SF, "documents")
+    rows = docs.collect()
+    # The base has 21 shingles, the others 5 and 6 more: similarities of 21/26 = 0.81 and 21/27 = 0.78.
+    base = [f"b{i}" for i in range(25)]
+    more = [(9_000, " ".join(base)), (9_001, " ".join([*base, *(f"c{i}" for i in range(5))])), (9_002, " ".join([*base, *(f"d{i}" for i in range(6))]))]
+    added = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in more], docs.schema)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    got = sorted(r["doc_id"] for r in stage(spark, docs.unionByName(added), SF).collect())
+    all_rows = [(r["doc_id"], r["text"]) for r in rows] + more
+    at = {p: sorted(d for d, _, c in brute_components(all_rows, p) if d == c) for p in (80, 85)}
+    assert at[80] != at[85] and 9_001 not in at[80] and 9_002 in at[80]
+    assert got == at[80]

@@ -23,9 +23,10 @@ from walrill.llm.common import discard, frugal, materialise, mix, raw_texts, shi
 from walrill.llm.files import bit_table, maybe_in
 from walrill.llm.graph import components
 
-SIMILARITY_PERCENT = 85
-#: A pair at the limit shares no band with a probability of (1 - 0.85**6)**28 = 2e-6.
-BANDS, ROWS = 28, 6
+#: The limit of the op3 query, and the one at which a pipeline keeps one document of a group.
+SIMILARITY_PERCENT, STAGE_PERCENT = 85, 80
+#: A pair at the limit shares no band with this probability at most.
+MISSED = 2e-6
 #: What one chunk of a candidate cluster holds on average at most; two chunks meet in a task.
 CHUNK_SETS, CHUNK_SHINGLES = 256, 250_000
 
@@ -60,6 +61,12 @@ def sketches(hashes: np.ndarray, at: np.ndarray, bins: int) -> np.ndarray:
     return grid
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows of a band for a limit: 28 of 6 at 85, 34 of 5 at 80."""
+    rows = 6 if percent >= 85 else 5
+    return int(np.ceil(np.log(MISSED) / np.log1p(-(min(percent, 99) / 100) ** rows))), rows
+
+
 def band_keys(grid: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A 64-bit key for each band of each sketch; equal keys mean equal rows of the same band."""
     part = mix(grid).reshape(len(grid), bands, rows)
@@ -162,13 +169,13 @@ def _known(table: tuple[int, str]):
     return run
 
 
-def near_groups(docs: DataFrame, percent: int = SIMILARITY_PERCENT, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+def near_groups(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Digests (doc_id, n_shingles, node, bands, text_key) of all rows of ``docs`` (doc_id, text), and (node, component) of all linked nodes.
 
     Node is the text's set of shingles (null: no words), component the least node reachable over links."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = narrow.withColumn("text_key", F.xxhash64("text"))
-    digests = materialise(keyed.mapInArrow(frugal(_digest(bands, rows)), "doc_id long, n_shingles long, node long, bands array<long>, text_key long"))
+    digests = materialise(keyed.mapInArrow(frugal(_digest(*banding(percent))), "doc_id long, n_shingles long, node long, bands array<long>, text_key long"))
     clusters = materialise(_clusters(digests))
     nodes = digests.select("doc_id", "n_shingles", "node").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     nodes = materialise(nodes)
@@ -203,7 +210,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame, percent: int = SIMILARITY_PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = STAGE_PERCENT, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of linked rows the one with the least id, and every row without words.
 
     Repeated rows are one group, so one of them stays; the columns are those of ``docs``. Rows are known by id and

@@ -23,7 +23,7 @@ def op2_token_store(spark: SparkSession, sf_dir: str, tokenizer_path: str | None
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
