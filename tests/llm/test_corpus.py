@@ -319,6 +319,27 @@ def test_terms_that_reveal_a_value(spark):
     assert clean[2008] == "ipsum Onlycopy writes from <email> dolor" and clean[1] is None and clean[2] == "no"
 
 
+def test_terms_beside_a_value_with_one_signature(spark):
+    r = random.Random(4)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgkl" for b in "aeiou" for c in "mnrst"]
+    fill = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    rows = [(i, fill(60)) for i in range(300)]
+    # One signature under different texts; a short name; a name far from its value.
+    rows += [(1000 + i, f"{fill(60)} Yours Bob Quistrom bob@x.org phone {fill(30)}") for i in range(30)]
+    rows += [(2000 + i, f"{fill(40)} Wo Farawaysson {fill(40)} far@x.org end") for i in range(5)]
+    # Near copies, edited beside the value too, are one context.
+    base = fill(120).split()
+    for i in range(9):
+        own = [*base]
+        own[i * 9] = "edited"
+        rows.append((3000 + i, f"{' '.join(own)} Copyman e{'abcdefghi'[i]} c@x.org {'jklmnopqr'[i]}x"))
+    got = {x["doc_id"]: x["spans"] for x in pii.find_personal_data(docs_of(spark, rows)).collect()}
+    terms = {i: {t[int(a) : int(z)].lower() for k, a, z in (s.split(":") for s in got[i].split(",") if s) if k == "term"} for i, t in rows}
+    assert all({"bob", "quistrom"} <= terms[1000 + i] for i in range(30))
+    assert all({"wo", "farawaysson"} <= terms[2000 + i] for i in range(5))
+    assert all(not terms[i] for i in [*range(300), *range(3000, 3009)])
+
+
 # --- 9 ---
 
 

@@ -1,11 +1,11 @@
 """Personal data, in DataFrame functions alone: base patterns, and terms that reveal a protected value.
 
 Base kinds are regular expressions with checks. The method then protects every base value (an entity): over the whole corpus it
-counts in how many different contexts a term stands near the entity, how many contexts the entity has, and how many documents
-hold the term. Point-wise mutual information log2(N n_et / (n_e df_t)) says how much the term discloses of the entity's
-information content log2(N / n_e). A term that discloses at least ``DISCLOSURE`` of it, seen in ``SUPPORT`` different contexts,
-is marked wherever it stands in a document with that entity. Contexts that are copies of each other count once, so copied
-documents disclose nothing new.
+counts in how many documents a term stands near the entity, how many hold the entity, and how many the term. Point-wise mutual
+information log2(N n_et / (n_e df_t)) says how much the term discloses of the entity's information content log2(N / n_e). A term
+that discloses at least ``DISCLOSURE`` of it, seen in ``SUPPORT`` different contexts, is marked wherever it stands in a document
+with that entity. Documents are different contexts whatever stands beside the value, unless they are near copies of each other:
+copied documents disclose nothing new. Inside a document, occurrences with other words right beside them are contexts too.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from walrill.llm.common import materialise
+from walrill.llm.graph import components
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The contract's patterns, written so that no text takes more than linear time: a match never needs to start inside a run
@@ -29,8 +30,11 @@ GUARDS = {"email": lambda t: t.contains("@"), "ip": lambda t: t.rlike(r"[0-9]\.[
 #: Share of an entity's information that a term may not disclose, and the least number of different contexts.
 DISCLOSURE, SUPPORT = 0.9, 3
 #: Characters on either side of an entity that are its context.
-CONTEXT = 100
-TERM = r"(?<!\S)\p{L}{4,}(?=[.,;:!?]*(?:\s|$))"
+CONTEXT = 300
+#: Shorter words are terms where they are written like a name, with a capital or in a script that has none.
+TERM = r"(?<!\S)(?:\p{L}{4,}|[\p{Lu}\p{Lt}\p{Lo}]\p{L}{0,2})(?=[.,;:!?]*(?:\s|$))"
+#: Texts whose five-word shingles have this similarity are copies; one is missed with a probability of (1 - 0.8**3)**16 = 1e-5.
+COPY_PERCENT, COPY_BANDS, COPY_ROWS = 80, 16, 3
 
 
 def _raw_hits(text: Column, kind: str) -> Column:
@@ -74,25 +78,48 @@ def _contexts(found: DataFrame, texts: DataFrame) -> DataFrame:
     right = F.substring(F.col("text"), F.col("end") + 1, F.lit(CONTEXT))
     left = F.when(F.col("start") > CONTEXT, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
     right = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"\S+$", "")).otherwise(right)
-    words = F.concat(F.regexp_extract_all(F.lower(left), F.lit(TERM), F.lit(0)), F.regexp_extract_all(F.lower(right), F.lit(TERM), F.lit(0)))
+    words = F.transform(F.concat(F.regexp_extract_all(left, F.lit(TERM), F.lit(0)), F.regexp_extract_all(right, F.lit(TERM), F.lit(0))), F.lower)
     entity = F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1), F.when(F.col("kind") == 0, F.lower("value")).when(F.col("kind") == 1, F.col("value")).otherwise(_digits(F.col("value"))))
-    # Two occurrences stand in one context if the words right beside them are the same: true of copies, edited elsewhere or not.
+    # Two occurrences in one document stand in one context if the words right beside them are the same.
     beside = F.xxhash64(F.regexp_extract(F.lower(left), r"(\S+)\s*$", 1), F.regexp_extract(F.lower(right), r"^\s*(\S+)", 1))
     return joined.select("uid", entity.alias("entity"), beside.alias("context"), F.array_distinct(words).alias("terms"))
 
 
-def revealing_terms(contexts: DataFrame, docs: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def _copies(texts: DataFrame) -> DataFrame:
+    """(uid, copy) of each row of ``texts`` (uid, text): rows have the same copy if their texts are equal or near copies."""
+    keyed = materialise(texts.select("uid", F.xxhash64("text").alias("node"), "text"))
+    # Written between the steps, so that no step is computed again for each element of the next.
+    words = materialise(keyed.dropDuplicates(["node"]).select("node", F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "").alias("w")))
+    places = F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1)))
+    sets = materialise(words.select("node", F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.slice("w", i, F.lit(5))))).alias("s")))
+    least = lambda i: F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(i))))
+    bands = F.array(*(F.xxhash64(F.lit(b), *(least(b * COPY_ROWS + r) for r in range(COPY_ROWS))) for b in range(COPY_BANDS)))
+    members = materialise(sets.select("node", F.explode(bands).alias("bucket")))
+    heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "head")
+    pairs = members.join(heads, "bucket").where("node <> head").select("node", "head").distinct()
+    both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("head"), F.col("s").alias("t")), "head")
+    meet = F.size(F.array_intersect("s", "t"))
+    links = both.where(100 * meet >= COPY_PERCENT * (F.size("s") + F.size("t") - meet)).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    groups = components(materialise(links))
+    return keyed.join(groups, "node", "left").select("uid", F.coalesce("component", "node").alias("copy"))
+
+
+def revealing_terms(contexts: DataFrame, docs: DataFrame, texts: DataFrame, text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term) of all terms that disclose at least the given share of an entity's information.
 
     All counts are over the whole corpus and pre-aggregated before each exchange; a frequent entity or term is a key with
     many rows only until its task-side counts are made."""
-    n_e = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support)
-    # Terms of entities with contexts enough, each context once.
-    near = contexts.join(n_e.select("entity"), "entity", "left_semi").select("entity", "context", F.explode("terms").alias("term")).distinct()
-    n_et = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
+    n_e = contexts.select("entity", "uid", "context").distinct().groupBy("entity", "uid").agg(F.count(F.lit(1)).alias("here"))
+    n_e = materialise(n_e.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.sum("here").alias("all")).where(F.col("all") >= support).drop("all"))
+    often = materialise(contexts.join(n_e.select("entity"), "entity", "left_semi"))
+    copies = materialise(_copies(texts.join(often.select("uid").distinct(), "uid", "left_semi")))
+    # A term's contexts in each document, then the most of any copy, so that copies count once; documents count all.
+    near = often.select("entity", "uid", "context", F.explode("terms").alias("term")).distinct().groupBy("entity", "term", "uid").agg(F.count(F.lit(1)).alias("here"))
+    near = near.join(copies, "uid").groupBy("entity", "term", "copy").agg(F.max("here").alias("here"), F.count(F.lit(1)).alias("documents"))
+    n_et = near.groupBy("entity", "term").agg(F.sum("here").alias("different"), F.sum("documents").alias("n_et")).where(F.col("different") >= support).drop("different")
     near = materialise(n_et.join(n_e, "entity"))
     # Every word's document count, a row for each word after task-side counts; only then do the few near terms meet it.
-    words = docs.select(F.explode(F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= 4)).alias("term"))
+    words = docs.select(F.explode(F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: w != "")).alias("term"))
     df_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     n = docs.count()
     bits = lambda x: F.log2(x.cast("double"))
@@ -131,7 +158,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     texts = rows.where(F.size("hits") > 0).select("uid", "text")
     base = materialise(_placed(rows).where(_valid(F.col("kind"), F.col("value"))))
     contexts = materialise(_contexts(base, texts))
-    terms = _term_spans(contexts, revealing_terms(contexts, docs), texts)
+    terms = _term_spans(contexts, revealing_terms(contexts, docs, texts), texts)
     covered = base.select(F.col("uid").alias("b_uid"), F.col("start").alias("b_start"), F.col("end").alias("b_end"))
     terms = terms.join(covered, (F.col("uid") == F.col("b_uid")) & (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")), "left_anti")
     spans = base.select("uid", "kind", "start", "end").unionByName(terms.select("uid", "kind", "start", "end"))
