@@ -266,6 +266,19 @@ def test_substring_dedup(spark):
     assert substring.substring_dedup(docs_of(spark, rows).limit(0)).collect() == []
 
 
+def apart(spark, *parts):
+    """A table with each of the given lists of rows in a partition of its own."""
+    rows = spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda part: [(i, t, "en", "s", len(t)) for i, t in part])
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_rows_that_tie_lose_what_an_earlier_document_holds(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    parts = [[(1, passage)], [(5, f"{passage} a b"), (5, f"{passage} c d"), (5, f"{passage} c d")]]
+    got = substring.substring_dedup(apart(spark, *parts))
+    assert Counter(tuple(r) for r in got.collect()) == brute_substring([r for p in parts for r in p])
+
+
 def test_anchor_is_the_least_gram():
     g = np.random.default_rng(0).integers(0, 50, 300).astype(np.uint64)
     assert substring.anchors(g, 13).tolist() == [i + int(np.argmin(g[i : i + 13])) for i in range(288)]

@@ -110,6 +110,7 @@ def _candidates(window: int, gram: int, table: tuple[int, str]):
             missing = ids.is_null().to_numpy(zero_copy_only=False)
             # Null ids come after all others.
             value = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            key = keys.to_numpy(zero_copy_only=False)
             for a, z in slices(texts, SLICE_BYTES):
                 s = Slice(texts[a:z], window, gram)
                 hit = maybe_in(table, s.anchor)
@@ -120,7 +121,8 @@ def _candidates(window: int, gram: int, table: tuple[int, str]):
                 # The earliest of a hash's group; a copy goes if it starts later than that, by document and place.
                 head = np.maximum.accumulate(np.where(same, 0, np.arange(len(hh))))
                 equal = (value[t] == value[t[head]]) & (missing[t] == missing[t[head]]) & (st == st[head])
-                later, first = order[same & ~equal], order[~same]
+                # Rows that tie with the head but hold another text go on too: an earlier document may take their words.
+                later, first = order[same & ~equal], order[~same | (equal & (key[t] != key[t[head]]))]
                 later = later[np.lexsort((start[later], text[later]))]
                 doc, low, high = _runs(text[later], start[later], window)
                 if len(doc):
