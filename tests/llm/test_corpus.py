@@ -279,6 +279,18 @@ def test_rows_that_tie_lose_what_an_earlier_document_holds(spark):
     assert Counter(tuple(r) for r in got.collect()) == brute_substring([r for p in parts for r in p])
 
 
+def test_a_chain_of_more_words_than_16_bits(spark):
+    r = np.random.default_rng(8)
+    # A gram whose hash is the least of many is the anchor of all windows of a text that repeats it every 13 words.
+    many = r.integers(0, 50_000, 3_000_000)
+    grams = common.windows(common.word_hashes([" ".join(map(str, many.tolist())).encode()])[0], substring.GRAM, base=0xC2B2AE3D27D4EB4F)
+    gram = many[(k := int(np.argmin(grams))) : k + substring.GRAM].tolist()
+    long = [str(w) for _ in range(6_000) for w in [*gram, *r.integers(0, 50_000, 5).tolist()]]
+    parts = [[(1, " ".join(long[70_000:70_100]))], [(2, " ".join(long))]]
+    got = substring.substring_dedup(apart(spark, *parts))
+    assert Counter(tuple(r) for r in got.collect()) == brute_substring([r for p in parts for r in p])
+
+
 def test_anchor_is_the_least_gram():
     g = np.random.default_rng(0).integers(0, 50, 300).astype(np.uint64)
     assert substring.anchors(g, 13).tolist() == [i + int(np.argmin(g[i : i + 13])) for i in range(288)]

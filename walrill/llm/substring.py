@@ -132,6 +132,9 @@ def _candidates(window: int, gram: int, table: tuple[int, str]):
                 if len(first):
                     t, st, hh, an = text[first], start[first], h[first], anchor[first]
                     cut = np.flatnonzero(np.append(True, (t[1:] != t[:-1]) | (an[1:] != an[:-1]) | (st[1:] - st[:-1] > window)))
+                    # Places are 16-bit offsets from the first start of a chain, so a longer chain is cut.
+                    block = (st - np.repeat(st[cut], np.diff(np.append(cut, len(t))))) >> 16
+                    cut = np.union1d(cut, np.flatnonzero(block[1:] != block[:-1]) + 1)
                     ends = np.append(cut[1:], len(t))
                     spots = (st - np.repeat(st[cut], ends - cut)).astype("<u2")
                     offsets = np.append(cut, len(t))
