@@ -208,6 +208,14 @@ def test_nearest(spark):
     assert ann.nearest(few.limit(0)).collect() == []
 
 
+def test_nearest_of_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.0, 0.0]), (7, [1.0, 0.1, 0.0]), (7, [0.0, 1.0, 0.1]), (50, [0.0, 1.0, 0.0]), (50, [0.0, 0.0, 1.0]), (8, [0.1, 0.0, 1.0])]
+    got = {}
+    for x in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=1).collect():
+        got.setdefault(x["query_id"], []).append((x["vec_id"], round(x["score"], 3)))
+    assert {q: sorted(v) for q, v in got.items()} == {0: [(7, 0.995)], 50: [(7, 0.995), (8, 0.995)]}
+
+
 # --- 6 ---
 
 DISGUISED = {"1d10t": "idiot", "i d i o t": "idiot", "st*pid": "stupid", "stuuuuupid": "stupid", "w0rthl3ss": "worthless", "p@thetic": "pathetic", "m.o.r.o.n": "moron", "cl0wn": "clown", "tr4sh!!": "trash", "$tup1d": "stupid"}

@@ -242,22 +242,23 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     Nearness is the cosine in double precision, ties go to the smaller vec_id; with at most k candidates all are returned.
     Rows without an id or vector, with null or non-finite components or of length zero take no part, nor do rows of another
     dimension than most rows have. Equal vectors are one node: of its rows the k + 1 with the least ids can be in an answer,
-    since every other is beaten by them in all ties. Rows that share an id are candidates each for itself, never for their own id."""
+    since every other is beaten by them in all ties. Rows that share an id are candidates each for itself, never for their own id; as
+    queries each of their different vectors has an answer of its own under that id."""
     rows = materialise(vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_unit, "vec_id long, unit binary"))
     common = rows.groupBy(F.length("unit").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.length("unit") == (common["n"] if common else 0)).withColumn("key", F.xxhash64("unit"))
-    # Equal vectors: task-side minima first, so a frequent vector never fills a task.
-    nodes = materialise(rows.groupBy("key", "unit").agg(F.min("vec_id").alias("node")).select("node", "unit", "key"))
-    units = materialise(nodes.groupBy("node").agg(F.min("unit").alias("unit")))
+    # A node is named by its vector, so rows that share an id and differ are nodes of their own.
+    units = materialise(rows.groupBy(F.col("key").alias("node")).agg(F.min("unit").alias("unit")))
     graph = build_graph(units, DEGREE)
-    queries = materialise(rows.where(F.col("vec_id") % every == 0).join(nodes.select("key", "unit", "node"), ["key", "unit"]).select(F.col("vec_id").alias("query"), "unit", F.col("node").alias("start")).dropDuplicates(["query"]))
-    found = greedy_search(queries, graph, units)
+    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "key"])
+    queries = materialise(asked.select(F.xxhash64("vec_id", "key").alias("query"), F.col("vec_id").alias("query_id"), "unit", F.col("key").alias("start")))
+    found = greedy_search(queries.drop("query_id"), graph, units)
     # The members that may answer: the k + 1 least ids of each node, by two levels of ranks.
     spread = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(64)))
     few = Window.partitionBy("key", "unit", "salt").orderBy("vec_id")
     least = spread.withColumn("r", F.row_number().over(few)).where(F.col("r") <= k + 1)
     least = least.withColumn("r", F.row_number().over(Window.partitionBy("key", "unit").orderBy("vec_id"))).where(F.col("r") <= k + 1)
-    members = least.join(nodes, ["key", "unit"]).select("node", "vec_id")
-    answers = found.join(members, "node").where(F.col("vec_id") != F.col("query"))
+    members = least.select(F.col("key").alias("node"), "vec_id")
+    answers = found.join(members, "node").join(queries.select("query", "query_id"), "query").where(F.col("vec_id") != F.col("query_id"))
     rank = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+    return answers.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
