@@ -202,6 +202,8 @@ def test_nearest(spark):
     assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits / (5 * len(want)) >= 0.95
+    exact = {(x["query_id"], x["rank"]): x["vec_id"] for x in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), exact=True).collect()}
+    assert exact == {(q, n + 1): i for q, v in want.items() for n, (i, _) in enumerate(v)}
     assert [i for i, _ in got[1000]] == [1001, 1002, 1003, 1004, 1005] and got[1000][0][1] == pytest.approx(1)
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(x["rank"], x["vec_id"]) for x in ann.nearest(few).orderBy("rank").collect()] == [(1, 2), (2, 1)]
@@ -216,6 +218,28 @@ def test_nearest_of_rows_that_share_an_id(spark):
     assert {q: sorted(v) for q, v in got.items()} == {0: [(7, 0.995)], 50: [(7, 0.995), (8, 0.995)]}
 
 
+@pytest.mark.parametrize("sample_rows, leaf", [(256, 64), (16, 32)])
+def test_graph_of_leaves_that_the_sample_cannot_carry(spark, sample_rows, leaf):
+    r = np.random.default_rng(2)
+    x = np.concatenate([r.normal(size=(900, 12)), np.repeat(r.normal(size=(1, 12)), 150, axis=0) + 1e-4 * r.normal(size=(150, 12))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    units = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, unit binary")
+    placed = ann._placed(units.mapInArrow(ann._coarse, "node long, unit binary"), [ann.Tree(x[:16], 0, 0)], 40, leaf)
+    assert max(row["count"] for row in placed.groupBy("tree", "leaf").count().collect()) <= 2 * leaf and placed.count() == 2 * len(x)
+    edges = ann.build_graph(units, 16, sample_rows=sample_rows, leaf=leaf)
+    found = ann.greedy_search(units.where("node % 50 = 0").select(F.col("node").alias("query"), "unit", F.col("node").alias("start")), edges, units, beam=48)
+    whole = ann.exact_search(units.where("node % 50 = 0").select(F.col("node").alias("query"), "unit"), units, beam=48)
+    best = [{}, {}]
+    for held, df in zip(best, (found, whole), strict=True):
+        for row in sorted(df.collect(), key=lambda row: (-round(row["score"], 12), row["node"])):
+            if row["query"] != row["node"]:
+                held.setdefault(row["query"], []).append(row["node"])
+    s = x @ x.T
+    assert all(own[:5] == [i for i in sorted(range(len(x)), key=lambda i: (-round(float(s[q, i]), 12), i)) if i != q][:5] for q, own in best[1].items())
+    early = [q for q in best[1] if q < 900]
+    assert np.mean([len({*best[0][q][:5]} & {*best[1][q][:5]}) / 5 for q in early]) >= 0.9
+
+
 # --- 6 ---
 
 DISGUISED = {"1d10t": "idiot", "i d i o t": "idiot", "st*pid": "stupid", "stuuuuupid": "stupid", "w0rthl3ss": "worthless", "p@thetic": "pathetic", "m.o.r.o.n": "moron", "cl0wn": "clown", "tr4sh!!": "trash", "$tup1d": "stupid"}
