@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -67,6 +68,85 @@ def test_main_text(spark):
     assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def brute_tree(html):
+    """The tree as nested lists, every look-up a walk up the tree; for markup of plain tags and text."""
+    root = {"tag": "html", "up": None, "kids": []}
+    now = root
+
+    def up(node, stop):
+        while node is not root and not stop(node["tag"]):
+            node = node["up"]
+        return node
+
+    for m in re.finditer(r"<(/?)([a-z0-9]+)>|([^<]+)", html):
+        closing, tag, text = m.groups()
+        if text:
+            now["kids"].append(text)
+        elif closing:
+            found = up(now, lambda t: t == tag or tag not in html_extract.BLOCKS and t in ("td", "th", "table"))
+            now = found["up"] if found is not root and found["tag"] == tag else now
+        else:
+            if tag in html_extract.ENDS_P:
+                found = up(now, lambda t: t in ("p", "td", "th", "table", "button", "li", "article", "section", "div", "blockquote"))
+                now = found["up"] if found["tag"] == "p" else now
+            if tag in html_extract.ENDS:
+                likes, holds = html_extract.ENDS[tag]
+                node, last = now, None
+                while node is not root and node["tag"] not in holds:
+                    last = node if node["tag"] in likes else last
+                    node = node["up"]
+                now = last["up"] if last else now
+            now["kids"].append({"tag": tag, "up": now, "kids": []})
+            now = now["kids"][-1]
+    return root
+
+
+def plain(node):
+    """A tree of either kind as (tag, items), neighbouring texts joined."""
+    tag, kids = (node["tag"], node["kids"]) if isinstance(node, dict) else (node.tag, node.items)
+    return tag, [x if isinstance(x, str) else plain(x) for x in kids]
+
+
+def test_tree_and_points_against_brute_force(spark):
+    r = random.Random(6)
+    tags = ["p", "div", "b", "span", "li", "ul", "td", "tr", "table", "section", "h2", "dd", "dl", "blockquote", "article", "th"]
+    for _ in range(400):
+        html = "".join(r.choice([f"<{t}>", f"<{t}>", f"</{t}>", "a, b", "word word word word word, "]) for t in r.choices(tags, k=r.randint(1, 60)))
+        assert plain(html_extract.parse(html)) == plain(brute_tree(html)), html
+    pages = [x["html"] for x in spark.read.parquet(f"{SF}/pages.parquet").select("html").limit(60).collect() if x["html"]]
+    for html in [PAGE, *pages]:
+        order = html_extract._measure(html_extract.parse(html))
+        gives = {"div", "section", "article", "main", "body"}
+        kids = lambda n: [x for x in n.items if isinstance(x, html_extract.Node) and not x.dropped]
+        own = lambda n: [x for x in n.items if isinstance(x, str)]
+        length = lambda n: sum(len(x.strip()) for x in own(n)) + sum(map(length, kids(n)))
+        linked = lambda n: length(n) if n.tag == "a" else sum(map(linked, kids(n)))
+        commas = lambda n: "".join(own(n)).count(",") + sum(map(commas, kids(n)))
+        points = dict.fromkeys(map(id, order), 0.0)
+        for n in order:
+            direct = "".join(own(n))
+            if not (n.tag in ("p", "pre", "blockquote", "td", "li", "dd") or n.tag in gives and len(direct.split()) >= 5) or length(n) < 2 or n.parent is None:
+                continue
+            given = (1 + (direct.count(",") if n.tag in gives else commas(n)) + min(length(n) / 100, 3)) * (1 - linked(n) / length(n))
+            chain, at = [], n if n.tag in gives else n.parent
+            while at is not None:
+                chain.append(at)
+                at = at.parent
+            for share, holder in zip((1, 1 / 2, 1 / 3), chain, strict=False):
+                points[id(holder)] += given * share
+        assert all(n.points == pytest.approx(points[id(n)]) and n.length == length(n) and n.linked == linked(n) for n in order)
+
+
+def test_bad_markup_takes_linear_time():
+    n = 60_000
+    bad = ["<blockquote>, " * n, "<div>" * n + "</span>" * n, "<b><table><td>" + "<div>" * n + "</b>" * n, "<b>" * n + "<ul>" * n, "<a " + "'" * 10 * n + ">", "<li><b>" * n, "<a x='" * n, "<p class='a " + "b " * n + "'>x", "&#" + "9" * n + "; &#" + "0" * n + "65;", "<!--" * n, "<script>" * n, "<td><tr>" * n, "&" * 10 * n]
+    for html in bad:
+        begun = time.process_time()
+        html_extract.main_text(html)
+        assert time.process_time() - begun < 5, html[:30]
+    assert html_extract.main_text("<p>&#" + "0" * 9_000 + "65;&#" + "7" * 9_000 + ";&#66;") == "A\ufffdB"
+
+
 # --- 2 ---
 
 

@@ -9,6 +9,8 @@ have points enough; if it is part of an article element, the whole article stays
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -32,6 +34,9 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open paragraph; open elements that a like start tag ends, up to the elements that hold them.
 ENDS_P = BLOCKS - {"body", "html", "caption", "legend", "li", "dd", "dt", "tbody", "thead", "tfoot", "tr"}
+#: What an open paragraph outside of is not ended by a start tag inside; what an end tag of an inline element doesn't reach beyond.
+HOLDS_P = ("td", "th", "table", "button", "li", "article", "section", "div", "blockquote")
+CELLS = ("td", "th", "table")
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"tr", "td", "th", "tbody", "thead", "tfoot"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tr", "td", "th", "tbody", "thead"}, {"table"})}
 #: Parts of class names and ids that say boilerplate; those that say reader comments; roles likewise (fixed values).
 NEGATIVE = frozenset(
@@ -46,53 +51,89 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert aler
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_QUOTE = re.compile("[\"']")
+_LONG_NUMBER = re.compile(r"&#0*([0-9]*)(?<=[0-9]{20});?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 #: The least points of a sibling that stays, and the least share of the best container's.
 SIBLING_POINTS, SIBLING_SHARE = 8.0, 0.2
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "points", "length", "linked", "dropped")
+    __slots__ = ("tag", "attrs", "parent", "items", "points", "length", "linked", "commas", "dropped")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.items: list[Node | str] = []
-        self.points, self.length, self.linked, self.dropped = 0.0, 0, 0, False
+        self.points, self.length, self.linked, self.commas, self.dropped = 0.0, 0, 0, 0, False
 
 
 def _tag_end(html: str, at: int, none_left: set[str]) -> int:
     """Place of the > that ends the tag whose name ends at ``at``; quoted values may hold others. -1 if there is none.
 
     ``none_left`` remembers quotes that the rest of the page lacks, so that many broken tags take no quadratic time."""
-    while True:
-        end = html.find(">", at)
-        if end < 0:
-            return -1
-        quote = min(((p, q) for q in "\"'" if (p := html.find(q, at, end)) >= 0), default=None)
-        if quote is None or quote[1] in none_left:
+    end = html.find(">", at)
+    while end >= 0:
+        quote = _QUOTE.search(html, at, end)
+        if quote is None:
             return end
         # Only a quote behind = opens a value.
-        if not html[max(at - 1, 0) : quote[0]].rstrip().endswith("="):
-            at = quote[0] + 1
+        if quote[0] in none_left or not html[max(at - 1, 0) : quote.start()].rstrip().endswith("="):
+            at = quote.end()
             continue
-        close = html.find(quote[1], quote[0] + 1)
+        close = html.find(quote[0], quote.end())
         if close < 0:
-            none_left.add(quote[1])
-            return end
+            none_left.add(quote[0])
+            continue
         at = close + 1
+        if at > end:
+            end = html.find(">", at)
+    return end
+
+
+def _decoded(text: str) -> str:
+    """``text`` with its character references decoded. Numbers of very many digits are no characters, unless most are leading zeros."""
+    return unescape(_LONG_NUMBER.sub(lambda m: f"&#{m[1]}" if len(m[1]) < 20 else "\ufffd", text) if "&#" in text else text)
+
+
+class _Open:
+    """The open elements, outermost first, and at which depths each tag is open, so that no look-up walks up the tree."""
+
+    def __init__(self, root: Node):
+        self.path, self.depths = [root], defaultdict(list)
+
+    def now(self) -> Node:
+        return self.path[-1]
+
+    def push(self, node: Node) -> None:
+        self.depths[node.tag].append(len(self.path))
+        self.path.append(node)
+
+    def close(self, depth: int) -> None:
+        """Ends the element at ``depth`` and all inside."""
+        while len(self.path) > depth:
+            self.depths[self.path.pop().tag].pop()
+
+    def last(self, *tags: str) -> int:
+        """Depth of the innermost open element with one of ``tags``, 0 if none is open."""
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
+
+    def first_below(self, depth: int, tags: set[str]) -> int:
+        """Depth of the outermost open element with one of ``tags`` inside the one at ``depth``, 0 if none is."""
+        found = [d[i] for t in tags if (d := self.depths.get(t)) and (i := bisect_right(d, depth)) < len(d)]
+        return min(found, default=0)
 
 
 def parse(html: str) -> Node:
     """The tree of a page; anything goes: what is never closed ends with its parent, what was never opened is passed over."""
     root = Node("html", "", None)
-    now, at, n, none_left = root, 0, len(html), set()
+    opened, at, n, none_left = _Open(root), 0, len(html), set()
     while at < n:
-        lt = html.find("<", at)
+        now, lt = opened.now(), html.find("<", at)
         if lt < 0:
-            now.items.append(unescape(html[at:]))
+            now.items.append(_decoded(html[at:]))
             break
         if lt > at:
-            now.items.append(unescape(html[at:lt]))
+            now.items.append(_decoded(html[at:lt]))
         two = html[lt + 1 : lt + 2]
         if html.startswith("<!--", lt):
             end = html.find("-->", lt + 4) if not html.startswith("<!-->", lt) else lt + 2
@@ -121,32 +162,22 @@ def parse(html: str) -> Node:
             if tag == "br":
                 now.items.append(" ")
                 continue
-            node = now
-            while node is not root and node.tag != tag and not (tag not in BLOCKS and node.tag in ("td", "th", "table")):
-                node = node.parent
-            if node is not root and node.tag == tag:
-                now = node.parent
+            depth = opened.last(tag)
+            if depth and (tag in BLOCKS or depth >= opened.last(*CELLS)):
+                opened.close(depth)
             continue
         if tag in ("html", "body"):
             if tag == "body" and now is root:
                 now.items.append(body := Node("body", attrs, root))
-                now = body
+                opened.push(body)
             continue
-        if tag in ENDS_P:
-            node = now
-            while node is not root and node.tag not in ("p", "td", "th", "table", "button", "li", "article", "section", "div", "blockquote"):
-                node = node.parent
-            if node.tag == "p":
-                now = node.parent
+        if tag in ENDS_P and (depth := opened.last("p")) > opened.last(*HOLDS_P):
+            opened.close(depth)
         if tag in ENDS:
             likes, holds = ENDS[tag]
-            node, last = now, None
-            while node is not root and node.tag not in holds:
-                if node.tag in likes:
-                    last = node
-                node = node.parent
-            if last is not None:
-                now = last.parent
+            if depth := opened.first_below(opened.last(*holds), likes):
+                opened.close(depth)
+        now = opened.now()
         child = Node(tag, attrs, now)
         now.items.append(child)
         if tag in RAW:
@@ -154,7 +185,7 @@ def parse(html: str) -> Node:
             end = html.find(">", close.end()) if close else -1
             at = n if end < 0 else end + 1
         elif tag not in VOID and not (attrs.endswith("/") and tag in ("svg", "path")):
-            now = child
+            opened.push(child)
     return root
 
 
@@ -205,12 +236,13 @@ def _measure(root: Node) -> list[Node]:
         kids = [x for x in node.items if isinstance(x, Node) and not x.dropped]
         node.length = own + sum(x.length for x in kids)
         node.linked = node.length if node.tag == "a" else sum(x.linked for x in kids)
+        node.commas = sum(x.count(",") for x in node.items if isinstance(x, str)) + sum(x.commas for x in kids)
     for node in order:
         direct = "".join(x for x in node.items if isinstance(x, str))
         paragraph = node.tag in ("p", "pre", "blockquote", "td", "li", "dd") or node.tag in ("div", "section", "article", "main", "body") and len(direct.split()) >= 5
         if not paragraph or node.length < 2 or node.parent is None:
             continue
-        commas = _flat(node).count(",") if node.tag not in ("div", "section", "article", "main", "body") else direct.count(",")
+        commas = node.commas if node.tag not in ("div", "section", "article", "main", "body") else direct.count(",")
         given = (1 + commas + min(node.length / 100, 3)) * (1 - node.linked / node.length)
         holder = node.parent if node.tag not in ("div", "section", "article", "main", "body") else node
         for share in (1.0, 0.5, 1 / 3):
@@ -221,17 +253,6 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
-def _flat(node: Node) -> str:
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        elif not x.dropped:
-            stack += reversed(x.items)
-    return "".join(out)
-
-
 def _blocks(node: Node, out: list[str]) -> None:
     """Adds the blocks of text of ``node`` in page order."""
     held: list[str] = []
