@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -333,6 +334,37 @@ def test_restoration(spark):
         assert plain in restorer.words(f"so {disguised} it"), disguised
 
 
+def test_restoration_against_all_paths():
+    r, model = random.Random(3), np.log(np.random.default_rng(3).dirichlet(np.ones(28), (28, 28)))
+
+    def score(path):
+        total, u, v, out = 0.0, 0, 0, ""
+        for x, p in path:
+            total += p
+            if x:
+                s = toxicity._symbol(x)
+                if s == 0 and v == 0:
+                    return None
+                total, u, v, out = total + model[u, v, s], v, s, out + x
+        return total + (model[u, v, 0] if v else 0.0), out
+
+    for _ in range(300):
+        spot = "".join(r.choice("ab1*. o0zé$") * r.choice([1, 1, 1, 3]) for _ in range(r.randint(1, 3)))
+        every = [x for path in itertools.product(*toxicity.lattice(spot)) if (x := score(path)) is not None]
+        if every:
+            best = max(every)[0]
+            assert toxicity.restore(spot, model) in {out for total, out in every if total > best - 1e-9}, spot
+
+
+def test_long_tokens_take_linear_time():
+    restorer = toxicity.Restorer(np.log(np.full((28, 28, 28), 1 / 28)))
+    for text in ["1" * 1_000_000, "中文字" * 110_000, "中文字，" * 80_000, "a" + "1" * 1_000_000 + "b", "@" * 500_000, "a" * 300_000, "a1" * 100_000, "x " * 100_000]:
+        begun = time.process_time()
+        restorer.words(text)
+        assert time.process_time() - begun < 5, text[:10]
+    assert [toxicity.spots(t) for t in ("tr4sh!!", "!!a1b", "(idiot", "x" + "7" * 40 + "y", "stuuupid", "plain", "42")] == [["tr4sh"], ["a1b"], ["(idiot"], [], ["stuuupid"], [], []]
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
@@ -345,6 +377,10 @@ def test_toxicity_held_out(spark):
     held = [i for i in truth if rows[i]["held_out"]]
     assert np.mean([rows[i]["predicted"] == truth[i] for i in held]) >= 0.95
     assert rows[-6]["score"] >= 0 and rows[-7]["predicted"] == 0 and rows[None]["score"] == rows[-5]["score"] < 0.5
+    # Equal texts with contradicting labels teach nothing, so reruns agree.
+    both = docs_of(spark, [(i, f"{'awful' if i % 2 else 'kind'} text {i // 4}") for i in range(40)])
+    said = spark.createDataFrame([(i, i // 2 % 2) for i in range(40)], "doc_id long, toxic int")
+    assert len({tuple(sorted((r["doc_id"], r["score"]) for r in toxicity.toxicity(both.repartition(n), said).collect())) for n in (1, 7)}) == 1
     none = toxicity.toxicity(extra, labels.limit(0)).collect()
     assert {r["predicted"] for r in none} == {0} and toxicity.toxicity(docs.limit(0), labels).collect() == []
 

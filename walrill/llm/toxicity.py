@@ -26,8 +26,6 @@ from walrill.llm.common import frugal, materialise, raw_texts, slices
 
 #: At most so many labelled rows train the classifier: those with the least hashes of their ids.
 TRAIN_ROWS = 40_000
-#: At most so many features keep a weight, the strongest first.
-FEATURES = 30_000
 #: Beginnings of words that are features, in letters.
 PREFIXES = (3, 4, 5, 6, 7)
 
@@ -48,11 +46,20 @@ _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(STANDS_FOR))
 #: Spots that may be disguised: letters mixed with signs, single letters in a row, a letter three times or more.
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+€£])(?:[ .\-_*~·/\\](?:[^\W_]|[@$!|+€£])(?![^\W_])){2,}")
-_MIXED = re.compile(rf"[^\W_]*(?:[^\W\d_][{_SIGNS}]+[^\W\d_]|(?<![^\W_])[{_SIGNS}]+[^\W\d_]{{2,}}|[^\W\d_]{{2,}}[\d@$]+(?![^\W_]))(?:[^\W_]|[{_SIGNS}](?=[{_SIGNS}]*[^\W_]))*")
+_RUN = re.compile(rf"(?:[^\W_]|[{_SIGNS}])+")
+#: So many signs or digits in a row stand for no letters: what is on either side of them are spots of their own.
+_NUMBER = re.compile(rf"[{_SIGNS}]{{17,}}")
+#: What makes a run of letters and signs a spot: signs inside, at its beginning, or digits and the like at its end.
+_INSIDE = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]")
+_AHEAD = re.compile(rf"[{_SIGNS}]+[^\W\d_]{{2}}")
+_BEHIND = re.compile(r"[^\W\d_]{2}[\d@$]+(?![^\W_])")
+#: Signs that are cut off a spot's beginning unless they stand for letters there, and those that are cut off its end.
+_LOOSE_AHEAD = "".join(c for c in STANDS_FOR if not c.isdigit())
+_LOOSE_BEHIND = _LOOSE_AHEAD.replace("@", "").replace("$", "")
 _TRIPLE = re.compile(r"(.)\1\1")
+_SAME_RUN = re.compile(r"(.)\1*", re.DOTALL)
 #: What may stand around a word (fixed values).
 _QUOTES = ".,;:!?\"'()"
-_STRETCHED = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 
 
 # --- language model ---------------------------------------------------------------------------------------------
@@ -98,38 +105,71 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
 # --- channel ----------------------------------------------------------------------------------------------------
 
 
+def _edges(c: str) -> list[tuple[str, float]]:
+    """What a character may stand for, with log-probabilities."""
+    if c in SEPARATORS and c != "*":
+        return [("", DROP_SEPARATOR), (" ", BREAK)]
+    if "a" <= c <= "z":
+        return [(c, SAME)]
+    if c in STANDS_FOR:
+        return [(x, OTHER) for x in STANDS_FOR[c]]
+    return [(c, SAME)] if c.isalpha() else [("", DROP_SEPARATOR), (" ", BREAK)]
+
+
+def lattice(spot: str) -> list[list[tuple[str, float]]]:
+    """For each character of a spot in lower case its edges; a repeated one of three or more may also stand for nothing."""
+    out = []
+    for m in _SAME_RUN.finditer(spot):
+        edges, n = _edges(m[1]), len(m[0])
+        out.append(edges)
+        if n > 1:
+            again = [*((x, p + KEEP_REPEAT) for x, p in edges), ("", DROP_REPEAT)] if n > 2 and m[1].isalnum() else edges
+            out += [again] * (n - 1)
+    return out
+
+
+def _symbol(x: str) -> int:
+    return 0 if x == " " else ord(x) - 96 if "a" <= x <= "z" else 27
+
+
 def restore(spot: str, model: np.ndarray) -> str:
-    """The likeliest words behind a disguised spot, lower case, by Viterbi over the last two letters of the path."""
-    spot = spot.lower()
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    run = re.compile(r"(.)\1*")
-    for c, k, n in ((m[1], k, len(m[0])) for m in run.finditer(spot) for k in range(len(m[0]))):
-        if c in SEPARATORS and c != "*":
-            edges = [("", DROP_SEPARATOR), (" ", BREAK)]
-        elif "a" <= c <= "z":
-            edges = [(c, SAME)]
-        elif c in STANDS_FOR:
-            edges = [(x, OTHER) for x in STANDS_FOR[c]]
-        elif c.isalpha():
-            edges = [(c, SAME)]
-        else:
-            edges = [("", DROP_SEPARATOR), (" ", BREAK)]
-        if k and n > 2 and c.isalnum():
-            edges = [(x, p + KEEP_REPEAT) for x, p in edges] + [("", DROP_REPEAT)]
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (u, v), (score, path) in states.items():
+    """The likeliest words behind a disguised spot, lower case, by Viterbi over the last two letters of the path.
+
+    Paths are chains from their ends, so time grows with the length of the spot and no more."""
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    item = model.item
+    for edges in lattice(spot.lower()):
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for key, (score, path) in states.items():
+            u, v = key
             for x, p in edges:
                 if not x:
-                    key, total, longer = (u, v), score + p, path
+                    at, total, longer = key, score + p, path
                 else:
-                    s = 0 if x == " " else ord(x) - 96 if "a" <= x <= "z" else 27
+                    s = _symbol(x)
                     if s == 0 and v == 0:
                         continue
-                    key, total, longer = (v, s), score + p + model[u, v, s], path + x
-                if key not in new or total > new[key][0]:
-                    new[key] = (total, longer)
+                    at, total, longer = (v, s), score + p + item(u, v, s), (x, path)
+                if at not in new or total > new[at][0]:
+                    new[at] = (total, longer)
         states = new or states
-    return max(((score + (model[u, v, 0] if v else 0.0), path) for (u, v), (score, path) in states.items()))[1]
+    path, out = max(((score + (item(u, v, 0) if v else 0.0), u, v, path) for (u, v), (score, path) in states.items()), key=lambda s: s[:3])[3], []
+    while path:
+        x, path = path
+        out.append(x)
+    return "".join(reversed(out))
+
+
+def spots(token: str) -> list[str]:
+    """The parts of a lower-case token that may be disguised: letters mixed with signs, and words with a letter three times in a row."""
+    found = []
+    for run in _RUN.findall(token):
+        for part in _NUMBER.split(run) if len(run) > 16 else (run,):
+            if _AHEAD.match(part):
+                found.append(part.rstrip(_LOOSE_BEHIND))
+            elif _INSIDE.search(part) or _BEHIND.search(part):
+                found.append(part.lstrip(_LOOSE_AHEAD).rstrip(_LOOSE_BEHIND))
+    return found + [w for w in _WORD.findall(token) if _TRIPLE.search(w)]
 
 
 class Restorer:
@@ -144,11 +184,9 @@ class Restorer:
 
     def _of_token(self, token: str) -> tuple[str, ...]:
         bare = token.strip(_QUOTES)
-        plain = bare.isalpha()
-        found = [bare] if plain else _WORD.findall(token)
-        for pattern in (_STRETCHED,) if plain else (_MIXED, _STRETCHED):
-            for m in pattern.finditer(bare if plain else token):
-                found += self._decoded(m[0])
+        found = [bare] if bare.isalpha() else _WORD.findall(token)
+        for spot in spots(token):
+            found += self._decoded(spot)
         return tuple(dict.fromkeys(found))
 
     def of(self, token: str) -> tuple[str, ...]:
@@ -285,17 +323,18 @@ def fold_of(row_id):
     return F.crc32(F.coalesce(F.col(row_id).cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_features: int = FEATURES) -> Model:
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """The model from the labels (doc_id, toxic) of rows that are not held out; the language model sees all of ``docs``.
 
     Of labelled rows at most ``train_rows`` are taken, by the hash of the id. Rows with contradicting labels or a null label
-    are left out, equal texts count once. Without a toxic and a clean text among them every score is the constant 0."""
+    are left out, and so are equal texts with contradicting labels; other equal texts count once. Without a toxic and a clean text among them every score is the constant 0."""
     trigrams = language_model(docs)
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     chosen = known.where(fold_of("doc_id") != 0).orderBy(F.md5(F.col("doc_id").cast("string").cast("binary"))).limit(train_rows).select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
     # At most train_rows rows of two numbers are broadcast.
     rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic", F.xxhash64("text").alias("h"))
-    rows = materialise(rows.dropDuplicates(["h"]).select("text", "toxic", F.pmod("h", F.lit(2)).cast("int").alias("fold")))
+    rows = rows.groupBy("h").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
+    rows = materialise(rows.select("text", "toxic", F.pmod("h", F.lit(2)).cast("int").alias("fold")))
     sizes = {(r["toxic"], r["fold"]): r["n"] for r in rows.groupBy("toxic", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = {y: [sizes.get((y, f), 0) for f in (0, 1)] for y in (0, 1)}
     if not sum(n[0]) or not sum(n[1]):
@@ -303,19 +342,16 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, n_fe
     counts = rows.mapInArrow(frugal(_word_counts(trigrams)), "word string, n0 long, n1 long, n2 long, n3 long")
     four = [f"n{k}" for k in range(4)]
     counts = materialise(counts.groupBy("word").agg(*(F.sum(k).alias(k) for k in four)))
-    # Counts on the side of the toxic class beyond its share of texts.
     toxic, clean = F.col("n1") + F.col("n3"), F.col("n0") + F.col("n2")
-    excess = toxic / F.lit(float(sum(n[1]))) - clean / F.lit(float(sum(n[0])))
     telling = (toxic >= 3) & (toxic * float(sum(n[0])) > 8.0 * clean * float(sum(n[1])))
     # A beginning speaks for words unlike those that speak for themselves, and only if several share it.
     starts = F.explode(F.array(*(F.when(F.length("word") > k, F.substring("word", 1, k)) for k in PREFIXES)))
     stems = counts.where(~telling).select(starts.alias("feature"), *four, (toxic > 0).cast("int").alias("kinds"))
     stems = stems.where("feature is not null").groupBy("feature").agg(*(F.sum(k).alias(k) for k in four), F.sum("kinds").alias("kinds")).where("kinds >= 3").drop("kinds")
     both = counts.where(telling).select(F.concat("word", F.lit("$")).alias("feature"), *four).unionByName(stems.where(telling))
-    # Strongest first; the driver receives n_features rows at most.
-    strongest = both.orderBy(excess.desc(), "feature").limit(n_features).collect()
+    # Words of three toxic training texts or more that are rare in clean ones: what train_rows rows can give, whatever the corpus.
     tables: list[dict[str, float]] = [{}, {}, {}]
-    for r in strongest:
+    for r in both.collect():
         for k, table in enumerate(tables):
             folds = (0, 1) if k == 2 else (k,)
             w = log_odds(sum(r[f"n{2 * f + 1}"] for f in folds), sum(r[f"n{2 * f}"] for f in folds), sum(n[1][f] for f in folds), sum(n[0][f] for f in folds))
