@@ -427,6 +427,18 @@ def test_rows_that_tie_lose_what_an_earlier_document_holds(spark):
     assert Counter(tuple(r) for r in got.collect()) == brute_substring([r for p in parts for r in p])
 
 
+def test_hot_anchors_are_dealt_out(spark):
+    r = random.Random(9)
+    line, passage = " ".join(f"l{i}" for i in range(12)), " ".join(f"p{i}" for i in range(40))
+    fill = lambda: " ".join(f"w{r.randint(0, 500)}" for _ in range(15))
+    # A line with other words around it, a passage in every part, both again, one row twice, ids that are missing or shared.
+    parts = [[(100 * k + i, f"{fill()} {line} {fill()} {passage if i % 4 == k % 4 else ''} {line}") for i in range(20)] for k in range(12)]
+    parts += [[(None, f"{passage} z"), (None, f"{passage} y"), (5, f"{passage} x"), (5, f"{passage} x"), (5, f"{line} {passage}"), *parts[3][:2], (7_000, None)]]
+    docs, want = apart(spark, *[[(i, t or "") for i, t in p] for p in parts]), brute_substring([r for p in parts for r in p])
+    assert Counter(tuple(x) for x in substring.substring_dedup(docs, hot_rows=4).collect()) == want
+    assert Counter(tuple(x) for x in substring.substring_dedup(docs).collect()) == want
+
+
 def test_a_chain_of_more_words_than_16_bits(spark):
     r = np.random.default_rng(8)
     # A gram whose hash is the least of many is the anchor of all windows of a text that repeats it every 13 words.
