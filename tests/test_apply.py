@@ -52,7 +52,7 @@ def test_set_based_equals_sequential(spark, seed):
     mark = model.watermark
     schema = "pos long, id string, `schema` string, `table` string, operation string, key string, lsn decimal(20,0), commit_time timestamp, key_row map<string,string>, after map<string,string>"
     e = spark.createDataFrame([(p, i, "s", "t", op, k, Decimal(n), AT, None, a) for p, i, op, k, n, a in log], schema)
-    b = spark.createDataFrame([("s", "t", k, None if v["lsn"] is None else Decimal(v["lsn"]), AT, v["cols"]) for k, v in base.items()], fold.STATE)
+    b = spark.createDataFrame([("s", "t", k, None if v["lsn"] is None else Decimal(v["lsn"]), AT, v["cols"], None) for k, v in base.items()], fold.STATE)
     got, marks = fold.fold(fold.fresh(e), b, spark.createDataFrame([("s", "t", Decimal(mark))], fold.WATERMARKS))
     for _, i, op, k, n, a in log:
         model.apply(i, op, k, n, a)

@@ -45,7 +45,10 @@ def dead_letters_of(refused: DataFrame, at) -> DataFrame:
 
 def _absent_rows(events: DataFrame, base: DataFrame, registry: DataFrame) -> DataFrame:
     """(id, reason) of preserving updates of rows that are not there, where a kept column is required and has no default."""
-    keyed = events.withColumn("_op", F.col("operation"))
+    keeping = events.where("operation = 'update' and size(unchanged_columns) > 0")
+    if keeping.isEmpty():
+        return events.sparkSession.createDataFrame([], "id string, reason string")
+    keyed = events.join(keeping.select(*fold.KEY).distinct(), fold.KEY, "left_semi").withColumn("_op", F.col("operation"))
     seen = running(keyed, ["pos"], {"_before": ("last", F.col("_op"))}, tuple(fold.KEY), exclusive=True)
     known = base.select(*fold.KEY, F.lit(True).alias("_held"))
     first = seen.where("operation = 'update' and size(unchanged_columns) > 0").join(known, fold.KEY, "left")
@@ -60,6 +63,12 @@ def apply_batch(events: DataFrame, state: State, at=None, check_types: bool = Tr
 
     Outcomes: ``applied`` (stale ones too: they leave a marker), ``duplicate``, ``stale truncate``, ``dead letter``. A refused
     event is set aside with its marker, so a later delivery does nothing; the others of its transaction apply."""
+    after, outcome, new = applied(events, state, at, check_types)
+    return replace(after, markers=state.markers.unionByName(new)), outcome
+
+
+def applied(events: DataFrame, state: State, at=None, check_types: bool = True) -> tuple[State, DataFrame, DataFrame]:
+    """As :func:`apply_batch`, with the new markers apart and the state's as they were."""
     at = F.current_timestamp() if at is None else at
     judged = with_reason(events)
     # An id that is missing can't be marked or looked up; such events are told apart by position.
@@ -75,14 +84,18 @@ def apply_batch(events: DataFrame, state: State, at=None, check_types: bool = Tr
         refusals = events.sparkSession.createDataFrame([], "id string, reason string")
     refused = new.where("reason is not null").unionByName(new.where("reason is null").drop("reason").join(refusals, "id").select(*new.columns))
     good = flat.join(refusals.select("id"), "id", "left_anti")
-    rows, watermarks = fold.fold(good, state.rows, state.watermarks)
-    marks = fold.markers_of(good).unionByName(refused.select("id", lsn_order(F.col("source.commit_lsn")).alias("lsn")))
+    marks = materialise(fold.truncate_marks(good, state.watermarks))
+    rows, watermarks = fold.fold(good, state.rows, state.watermarks, marks, at)
+    new_markers = fold.markers_of(good).unionByName(refused.select("id", lsn_order(F.col("source.commit_lsn")).alias("lsn")))
+    # A record that is there already keeps everything but its reason.
     letters = dead_letters_of(refused, at)
-    kept = state.dead_letters.join(letters.select("event_id"), "event_id", "left_anti")
-    epochs = fold.truncate_epochs(good, state.watermarks)
-    outcome = good.select("id", F.lit("applied").alias("outcome")).join(epochs.where("operation = 'truncate' and not effective").select("id"), "id", "left_anti")
-    outcome = outcome.unionByName(epochs.where("operation = 'truncate' and not effective").select("id", F.lit("stale truncate").alias("outcome")))
+    told = letters.select("event_id", F.col("reason").alias("_reason"))
+    kept = state.dead_letters.join(told, "event_id", "left").withColumn("reason", F.coalesce("_reason", "reason")).select(*state.dead_letters.columns)
+    letters = letters.join(state.dead_letters.select("event_id"), "event_id", "left_anti").select(*state.dead_letters.columns)
+    stale = marks.where("not effective").select("id")
+    outcome = good.select("id", F.lit("applied").alias("outcome")).join(stale, "id", "left_anti")
+    outcome = outcome.unionByName(stale.select("id", F.lit("stale truncate").alias("outcome")))
     outcome = outcome.unionByName(refused.select("id", F.lit("dead letter").alias("outcome")))
     repeated = judged.select("id", "pos").join(new.select("id", "pos"), ["id", "pos"], "left_anti").select("id", F.lit("duplicate").alias("outcome"))
-    after = replace(state, rows=rows, markers=state.markers.unionByName(marks), watermarks=watermarks, dead_letters=kept.unionByName(letters))
-    return after, outcome.unionByName(repeated)
+    after = replace(state, rows=rows, watermarks=watermarks, dead_letters=kept.unionByName(letters))
+    return after, outcome.unionByName(repeated), new_markers

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from walrill.functions.rows import ROW, empty_row, has, overlay, rows_equal
 from walrill.operators.envelope import VERSION
 from walrill.operators.ordered import numbered, running
+from walrill.storage import materialise
 
 TUPLE = "array<struct<kind:string,value:string>>"
 MESSAGE = f"pos bigint, kind string, xid bigint, relation_id bigint, namespace string, relation string, columns array<struct<name:string,flags:int>>, old_kind string, old_tuple {TUPLE}, new_tuple {TUPLE}, relation_ids array<bigint>, commit_lsn string, end_lsn string, commit_time timestamp"
@@ -110,8 +111,9 @@ def decode(messages: DataFrame, identity: DataFrame | None = None) -> tuple[Data
 
     ``identity`` (schema, table, key_columns) overrides the relations' own key flags. Kinds besides begin, commit, relation,
     insert, update, delete and truncate are passed over. Events have ``pos`` of their message and of their commit (``commit_pos``)."""
-    d = framed(messages)
-    relations = messages.where("kind = 'relation'").select("pos", "relation_id", "namespace", "relation", "columns")
+    # Frames and decoded rows are written once each: several results come from them, and their expressions are long.
+    d = materialise(framed(messages))
+    relations = d.where("kind = 'relation'").select("pos", "relation_id", "namespace", "relation", "columns")
     frame_faults = d.where("frame_fault is not null").select("pos", F.col("frame_fault").alias("reason"), "begin")
     inside = d.where("frame_fault is null and begin is not null")
     rows = inside.where(F.col("kind").isin(*CHANGES)).select("pos", "kind", "relation_id", "old_kind", "old_tuple", "new_tuple", "begin", F.lit(0).alias("part"))
@@ -127,7 +129,7 @@ def decode(messages: DataFrame, identity: DataFrame | None = None) -> tuple[Data
     none = F.lit(None)
     truncate = F.array(F.struct(F.lit("truncate").alias("operation"), none.cast(ROW).alias("key"), none.cast(ROW).alias("before"), none.cast(ROW).alias("after"), F.array().cast("array<string>").alias("unchanged_columns")).cast(_CHANGE))
     wiped = all_changes.where("kind = 'truncate'").select("pos", "part", "begin", "rel", F.when(F.col("rel").isNull(), "relation not described").alias("fault"), F.when(F.col("rel").isNotNull(), truncate).alias("changes"))
-    every = done.unionByName(wiped)
+    every = materialise(done.unionByName(wiped))
     faults = frame_faults.unionByName(every.where("fault is not null").select("pos", F.col("fault").alias("reason"), "begin"))
     commits = inside.where("kind = 'commit'").select(F.col("begin.pos").alias("begin_pos"), F.col("begin.xid").alias("transaction_id"), F.col("pos").alias("commit_pos"), "commit_lsn", "end_lsn", "commit_time")
     broken = faults.where("begin is not null").select(F.col("begin.pos").alias("begin_pos")).distinct()

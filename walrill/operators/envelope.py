@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from walrill.functions.rows import RESERVED, event_key, has, is_identifier
 
+#: The document's version, operations and fields (fixed values).
 VERSION = 1
 OPERATIONS = ("insert", "update", "delete", "truncate")
 SOURCE = "struct<transaction_id:bigint,commit_lsn:string,transaction_end_lsn:string,commit_time:timestamp,sequence:int,transaction_event_count:int>"
@@ -35,11 +36,11 @@ def invalid_reason() -> Column:
 def unappliable_reason() -> Column:
     """Why a valid event can never be applied to a keyed table, whatever the table; null if it can."""
     row_op = F.col("operation").isin("insert", "update")
-    key_names = F.map_keys("key")
+    key_names, reserved = F.map_keys("key"), F.array(*map(F.lit, RESERVED))
     return (
         F.when(~is_identifier(F.col("schema")) | ~is_identifier(F.col("table")), "bad identifier")
         .when(F.exists(F.concat(F.coalesce(F.map_keys("after"), F.array().cast("array<string>")), F.coalesce(key_names, F.array().cast("array<string>"))), lambda c: ~c.rlike("^[A-Za-z_][A-Za-z0-9_]*$")), "bad column name")
-        .when(F.coalesce(F.arrays_overlap(F.map_keys("after"), F.array(*map(F.lit, RESERVED))), F.lit(False)), "reserved column")
+        .when(F.coalesce(F.arrays_overlap(F.map_keys("after"), reserved), F.lit(False)) | F.coalesce(F.arrays_overlap(key_names, reserved), F.lit(False)), "reserved column")
         .when(row_op & F.exists(key_names, lambda k: ~has(F.col("after"), k)), "key column absent from row")
         .when(row_op & F.coalesce(F.arrays_overlap(key_names, F.col("unchanged_columns")), F.lit(False)), "key column marked unchanged")
     )

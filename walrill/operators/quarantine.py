@@ -7,8 +7,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from walrill.functions.lsn import lsn_order
 from walrill.operators.apply import State, apply_batch
 from walrill.operators.envelope import FIELDS, SOURCE, VERSION
+from walrill.operators.ordered import numbered
+from walrill.storage import materialise
 
 
 def listed(letters: DataFrame, schema: str = "", table: str = "") -> DataFrame:
@@ -25,11 +28,14 @@ def one(letters: DataFrame, event_id: str) -> DataFrame:
 
 
 def as_events(letters: DataFrame) -> DataFrame:
-    """The events again; of their source only position and time are left. ``pos`` follows the time of quarantine."""
+    """The events again; of their source only position and time are left. ``pos`` numbers them by the time of quarantine, then by
+    position at the source and place in the transaction."""
     none = F.lit(None)
     source = F.struct(none.cast("bigint"), F.col("source_lsn"), F.col("source_lsn"), F.col("source_commit_time"), none.cast("int"), none.cast("int")).cast(SOURCE)
-    events = letters.select(F.lit(VERSION).alias("version"), F.col("event_id").alias("id"), "schema", "table", "operation", "key", "before", "after", source.alias("source"), "unchanged_columns", "occurred_at")
-    return events.withColumn("pos", F.unix_micros("occurred_at")).select(*FIELDS, "pos")
+    events = letters.select(F.lit(VERSION).alias("version"), F.col("event_id").alias("id"), "schema", "table", "operation", "key", "before", "after", source.alias("source"), "unchanged_columns", F.unix_micros("occurred_at").alias("_at"))
+    # Ids end in the place of their event, so the shorter of two at one position is the earlier.
+    placed = events.withColumn("_lsn", lsn_order(F.col("source.commit_lsn"))).withColumn("_length", F.length("id"))
+    return numbered(placed, ["_at", "_lsn", "_length", "id"], "pos").select(*FIELDS, "pos")
 
 
 def _without(state: State, ids: DataFrame) -> State:
@@ -38,10 +44,13 @@ def _without(state: State, ids: DataFrame) -> State:
 
 
 def replay(state: State, letters: DataFrame, at=None) -> tuple[State, DataFrame]:
-    """Applies dead letters anew. What applies loses its record; what is still refused keeps record and marker, with the new
-    reason. The second result says which (event_id, replayed)."""
-    after, outcome = apply_batch(as_events(letters), _without(state, letters), at)
-    return after, outcome.select(F.col("id").alias("event_id"), (F.col("outcome") != "dead letter").alias("replayed"))
+    """Applies dead letters anew. What applies loses its record; what is still refused keeps record and marker, and of the record
+    all but the reason, which is the new one. The second result says which (event_id, replayed)."""
+    unmarked = replace(state, markers=_without(state, letters).markers)
+    after, outcome = apply_batch(as_events(letters), unmarked, at)
+    result = materialise(outcome.select(F.col("id").alias("event_id"), (F.col("outcome") != "dead letter").alias("replayed")))
+    healed = result.where("replayed").select("event_id")
+    return replace(after, dead_letters=after.dead_letters.join(healed, "event_id", "left_anti")), result
 
 
 def drop(state: State, letters: DataFrame) -> State:

@@ -30,12 +30,12 @@ def present(registry: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(registry.select("schema", "table", "column"), ["schema", "table", "column"], "left_semi")
 
 
-def _refused(registry: DataFrame) -> Column:
-    """Whether column ``value`` is refused by its row's ``pg_type``; a branch for each type that occurs, which are few."""
+def _refused(registry: DataFrame, value: Column, pg_type: Column, labels: Column) -> Column:
+    """Whether ``value`` is refused by its type; a branch for each type that occurs, which are few."""
     kinds = [r["pg_type"] for r in registry.where("enum_labels is null").select("pg_type").distinct().collect()]
-    out = F.when(F.col("enum_labels").isNotNull(), F.col("value").isNotNull() & ~F.coalesce(F.array_contains("enum_labels", F.col("value")), F.lit(False)))
+    out = F.when(labels.isNotNull(), value.isNotNull() & ~F.coalesce(F.array_contains(labels, value), F.lit(False)))
     for kind in sorted(kinds):
-        out = out.when(F.col("pg_type") == kind, refuses(F.col("value"), kind))
+        out = out.when(pg_type == kind, refuses(value, kind))
     return out.otherwise(False)
 
 
@@ -43,22 +43,31 @@ def poison(events: DataFrame, registry: DataFrame) -> DataFrame:
     """(id, reason) of events that the destination's tables refuse, the first reason of each by column.
 
     Unknown tables and columns, values that a type can't take, null or missing values of required columns. An event that keeps
-    unchanged columns is not refused for those here: they matter only if its row is absent, see ``apply``."""
-    known = registry.select(F.col("schema").alias("r_schema"), F.col("table").alias("r_table"), F.col("column").alias("r_column"), "ordinal", "pg_type", "nullable", "default_value", "enum_labels")
-    rows = events.where(F.col("operation").isin("insert", "update"))
-    cells = rows.select("id", "schema", "table", F.explode("after").alias("column", "value")).unionByName(events.where("operation = 'delete'").select("id", "schema", "table", F.explode("key_row").alias("column", "value")))
-    met = cells.join(known, (F.col("schema") == F.col("r_schema")) & (F.col("table") == F.col("r_table")) & (F.col("column") == F.col("r_column")), "left")
-    bad = F.when(F.col("r_column").isNull(), F.lit("undefined column")).when(F.col("value").isNull() & ~F.col("nullable"), "null in a required column").when(_refused(registry), "value refused by type")
-    found = met.select("id", F.coalesce("ordinal", F.lit(1_000_000)).alias("ordinal"), F.concat(bad, F.lit(" "), F.col("column")).alias("reason")).where("reason is not null")
-    needed = known.where("not nullable and default_value is null").select("r_schema", "r_table", "r_column", "ordinal")
-    lacking = rows.join(needed, (F.col("schema") == F.col("r_schema")) & (F.col("table") == F.col("r_table"))).where(~has(F.col("after"), F.col("r_column")) & ~F.coalesce(F.array_contains("unchanged_columns", F.col("r_column")), F.lit(False)))
-    lacking = lacking.select("id", "ordinal", F.concat(F.lit("required column missing "), F.col("r_column")).alias("reason"))
-    homeless = events.join(registry.select("schema", "table").distinct(), ["schema", "table"], "left_anti").select("id", F.lit(-1).alias("ordinal"), F.lit("undefined table").alias("reason"))
-    return found.unionByName(lacking).unionByName(homeless).groupBy("id").agg(F.min_by("reason", F.struct("ordinal", "reason")).alias("reason"))
+    unchanged columns is not refused for those here: they matter only if its row is absent, see ``apply``. Each event is judged
+    where it is, beside its table's description; a table's columns are one row, and the planner broadcasts these by size."""
+    described = F.struct("ordinal", "column", "pg_type", "nullable", F.col("default_value").isNotNull().alias("filled"), "enum_labels")
+    known = registry.groupBy(F.col("schema").alias("r_schema"), F.col("table").alias("r_table")).agg(F.collect_list(described).alias("known"))
+    upsert = F.col("operation").isin("insert", "update")
+    row = F.when(upsert, F.col("after")).when(F.col("operation") == "delete", F.col("key_row"))
+    d = events.join(known, (F.col("schema") == F.col("r_schema")) & (F.col("table") == F.col("r_table")), "left").select("id", "known", upsert.alias("upsert"), row.alias("row"), F.coalesce("unchanged_columns", F.array().cast("array<string>")).alias("open"))
+
+    def judged(c: Column) -> Column:
+        there, value = has(F.col("row"), c["column"]), F.element_at("row", c["column"])
+        what = (
+            F.when(there & value.isNull() & ~c["nullable"], "null in a required column ").when(there & _refused(registry, value, c["pg_type"], c["enum_labels"]), "value refused by type ")
+            .when(F.col("upsert") & ~there & ~c["nullable"] & ~c["filled"] & ~F.array_contains("open", c["column"]), "required column missing ")
+        )
+        return F.struct(c["ordinal"].alias("ordinal"), F.concat(what, c["column"]).alias("reason"))
+
+    strange = F.array_except(F.map_keys("row"), F.transform("known", lambda c: c["column"]))
+    strange = F.transform(strange, lambda c: F.struct(F.lit(1_000_000).alias("ordinal"), F.concat(F.lit("undefined column "), c).alias("reason")))
+    faults = F.filter(F.concat(F.transform("known", judged), strange), lambda f: f["reason"].isNotNull())
+    first = F.when(F.col("known").isNull(), "undefined table").when(F.col("row").isNotNull(), F.array_min(faults)["reason"])
+    return d.select("id", first.alias("reason")).where("reason is not null")
 
 
 def typed_table(rows: DataFrame, registry: DataFrame, schema: str, table: str) -> DataFrame:
-    """The rows of one table as typed columns, defaults for absent ones, with source_lsn and source_commit_time."""
+    """The rows of one table as typed columns, defaults for absent ones, with source_lsn, source_commit_time and replicated_at."""
     from walrill.functions.lsn import lsn_text
 
     cells = []
@@ -66,4 +75,4 @@ def typed_table(rows: DataFrame, registry: DataFrame, schema: str, table: str) -
         value = F.when(has(F.col("cols"), F.lit(c["column"])), F.element_at("cols", F.lit(c["column"]))).otherwise(F.lit(c["default_value"]))
         cells.append(typed(value, c["pg_type"], c["enum_labels"]).alias(c["column"]))
     own = rows.where((F.col("schema") == schema) & (F.col("table") == table))
-    return own.select(*cells, lsn_text(F.col("lsn")).alias("source_lsn"), F.col("commit_time").alias("source_commit_time"))
+    return own.select(*cells, lsn_text(F.col("lsn")).alias("source_lsn"), F.col("commit_time").alias("source_commit_time"), "replicated_at")

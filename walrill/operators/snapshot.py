@@ -6,11 +6,11 @@ import time
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from walrill.functions.lsn import lsn_order
-from walrill.functions.rows import RESERVED, event_key
+from walrill.functions.lsn import lsn_order, lsn_passes
+from walrill.functions.rows import RESERVED, empty_row, event_key, overlay
 from walrill.operators import fold
 from walrill.operators.apply import State
 
@@ -45,10 +45,15 @@ def rows_of(df: DataFrame, schema: str, table: str, columns: list[str], key: lis
     return text.select(F.lit(schema).alias("schema"), F.lit(table).alias("table"), event_key(F.lit(schema), F.lit(table), pairs(key)).alias("key"), lsn_order(F.lit(lsn)).alias("lsn"), commit_time.alias("commit_time"), pairs(columns).alias("cols"))
 
 
-def merge_rows(base: DataFrame, copied: DataFrame) -> DataFrame:
-    """Snapshot rows upserted like inserts at their position: guarded, without markers, columns that they lack kept."""
-    events = copied.select(F.lit(0).cast("long").alias("pos"), F.col("key").alias("id"), "schema", "table", F.lit("insert").alias("operation"), "key", "lsn", "commit_time", F.lit(None).cast("map<string,string>").alias("key_row"), F.col("cols").alias("after"))
-    return fold.fold(events.withColumn("unchanged_columns", F.array().cast("array<string>")), base)[0]
+def merge_rows(base: DataFrame, copied: DataFrame, at: Column | None = None) -> DataFrame:
+    """Snapshot rows (one for each key) upserted like inserts at their position: guarded, without markers, columns that they lack kept."""
+    at = F.current_timestamp() if at is None else at
+    names = ["lsn", "commit_time", "cols", "replicated_at"]
+    pack = lambda df, name: df.select(*fold.KEY, F.struct(*names).alias(name))
+    both = pack(base, "old").join(pack(copied.withColumn("replicated_at", at), "new"), fold.KEY, "full")
+    stays = F.col("new").isNull() | F.coalesce(~lsn_passes(F.col("old.lsn"), F.col("new.lsn")), F.lit(False))
+    merged = F.struct(F.col("new.lsn").alias("lsn"), F.col("new.commit_time").alias("commit_time"), overlay(F.coalesce(F.col("old.cols"), empty_row()), F.col("new.cols")).alias("cols"), F.col("new.replicated_at").alias("replicated_at"))
+    return both.select(*fold.KEY, F.when(stays & F.col("old").isNotNull(), F.col("old")).otherwise(merged).alias("row")).select(*fold.KEY, "row.*")
 
 
 def completed(state: State) -> bool:
@@ -77,15 +82,16 @@ def wait_for_position(position: Callable[[], str | None], timeout: float = 120.0
 
 
 def run(state: State, tables: dict[tuple[str, str], DataFrame], lsn: str, commit_time) -> State:
-    """All of ``tables`` copied at one position. The caller pins the inputs and commits the result as one version."""
+    """All of ``tables`` copied at one position and merged at once. The caller pins the inputs and commits the result as one version."""
     from walrill.operators import registry as reg
 
-    rows = state.rows
+    copied = None
     for (schema, table), df in sorted(tables.items()):
         known = reg.columns(state.registry, schema, table)
         columns = shared_columns([c["column"] for c in known], df.columns)
-        rows = merge_rows(rows, rows_of(df, schema, table, columns, [c["column"] for c in known if c["is_key"]], lsn, commit_time))
-    return replace(state, rows=rows)
+        rows = rows_of(df, schema, table, columns, [c["column"] for c in known if c["is_key"]], lsn, commit_time)
+        copied = rows if copied is None else copied.unionByName(rows)
+    return state if copied is None else replace(state, rows=merge_rows(state.rows, copied))
 
 
 def boot(state: State, position: Callable[[], str | None], tables: dict[tuple[str, str], DataFrame], commit_time, timeout: float = 120.0) -> State:

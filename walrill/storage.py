@@ -42,3 +42,42 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    files, where = _at(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> bool:
+    """Creates a small file with all of ``text`` at once; False if it is there already, unless it may be replaced."""
+    files, final = _at(spark, path)
+    _, part = _at(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if replace and files.exists(final):
+        files.delete(final, False)
+    if files.exists(final) or not files.rename(part, final):
+        files.delete(part, False)
+        return False
+    return True
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, which is made if it isn't there."""
+    files, where = _at(spark, path)
+    files.mkdirs(where)
+    return sorted(s.getPath().getName() for s in files.listStatus(where))
