@@ -9,6 +9,8 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walrill.operators.ordered import running
+
 #: Upper bounds of the histograms' buckets (fixed values).
 DURATION_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10)
 SIZE_BUCKETS = (1, 2, 5, 10, 25, 50, 100, 250, 500, 1000)
@@ -37,12 +39,33 @@ def headroom(lag_seconds: Column, budget: Column) -> Column:
 
 
 def consumer_figures(offsets: DataFrame) -> DataFrame:
-    """produced, consumed, lag and outran from (start, end, committed) offsets."""
-    return offsets.select("*", (F.col("end") - F.col("start")).alias("produced"), F.when(F.col("committed") >= 0, F.col("committed") - F.col("start")).otherwise(0).alias("consumed"), lag(F.col("end"), F.col("committed")).alias("lag"), retention_outran(F.col("committed"), F.col("start")).alias("outran"))
+    """produced, consumed, lag and outran from (start, end, committed) offsets, of which a negative or missing one is unknown.
+
+    -1 says unknown: all three unless both ends are known and in order, consumed and lag without a commit, lag beyond the end."""
+    known = lambda c: F.coalesce(F.col(c) >= 0, F.lit(False))
+    ends = known("start") & known("end") & F.coalesce(F.col("end") >= F.col("start"), F.lit(False))
+    read = ends & known("committed")
+    figure = lambda when, value, name: F.when(when, value).otherwise(-1).cast("long").alias(name)
+    return offsets.select(
+        "*", figure(ends, F.col("end") - F.col("start"), "produced"), figure(read, F.col("committed") - F.col("start"), "consumed"),
+        figure(read & (F.col("end") >= F.col("committed")), F.col("end") - F.col("committed"), "lag"), (known("start") & F.coalesce(retention_outran(F.col("committed"), F.col("start")), F.lit(False))).alias("outran"),
+    )
 
 
 def stalled(seconds: Column, bytes_ahead: Column) -> Column:
-    return (seconds > STALL_SECONDS) & (bytes_ahead > STALL_BYTES)
+    """From STALL_SECONDS on, with more than STALL_BYTES waiting; what is unknown is no stall."""
+    return F.coalesce((seconds >= STALL_SECONDS) & (bytes_ahead > STALL_BYTES), F.lit(False))
+
+
+def retention_ms(setting: Column) -> Column:
+    """A topic's ``retention.ms`` from its text; 0 if it is missing or no number."""
+    return F.coalesce(setting.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def position_faults(reports: DataFrame) -> DataFrame:
+    """Reports (pos, lsn) of a durable position before one reported earlier, with that (``durable``)."""
+    seen = running(reports, ["pos"], {"durable": ("max", F.col("lsn"))}, exclusive=True)
+    return seen.where("lsn < durable").select("pos", "lsn", "durable")
 
 
 def bucket(value: Column, bounds: tuple[float, ...]) -> Column:
@@ -103,10 +126,26 @@ class Metrics:
         self.set("cdc_retention_headroom_seconds", retention - lag_seconds)
 
     def batch_done(self, report: dict, seconds: float) -> None:
-        """Takes in what a writer reports after a commit."""
+        """Takes in what a writer reports after a commit: counts by outcome, what waits and for how long."""
+        outcomes = {k: v for k, v in report.items() if k not in ("batch", "version", "pending", "group_age")}
+        for outcome, n in outcomes.items():
+            if n:
+                self.add("cdc_messages_processed_total", n, outcome=outcome)
         self.add("cdc_dead_letters_total", report.get("dead letter", 0) + report.get("unreadable", 0))
+        if "pending" in report:
+            self.set("cdc_pending_events", report["pending"])
+        if "group_age" in report:
+            self.set("cdc_group_age_seconds", report["group_age"])
         self.observe("cdc_batch_duration_seconds", seconds)
-        self.observe("cdc_batch_size", sum(v for k, v in report.items() if k not in ("batch", "version")))
+        self.observe("cdc_batch_size", sum(outcomes.values()))
+
+    def publish_done(self, report: dict) -> None:
+        """Takes in what a publisher reports after a batch."""
+        self.add("cdc_messages_published_total", report.get("published", 0))
+        self.add("cdc_transactions_acked_total", report.get("transactions", 0))
+
+    def failed(self, component: str) -> None:
+        self.add("cdc_errors_total", component=component)
 
     def text(self) -> str:
         with self._lock:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from walrill.operators import fold
 from walrill.operators.apply import DEAD_LETTERS, SETTINGS, State
 from walrill.operators.registry import REGISTRY
+from walrill.storage import names, read_text, remove, write_text
 
 SCHEMAS = {"rows": fold.STATE, "markers": fold.MARKERS, "watermarks": fold.WATERMARKS, "dead_letters": DEAD_LETTERS, "registry": REGISTRY, "settings": SETTINGS}
 
@@ -29,35 +30,17 @@ class Store:
 
     # --- pointer ---
 
-    def _read(self, name: str) -> str | None:
-        where = self._path(f"{self.path}/{name}")
-        if not self._fs.exists(where):
-            return None
-        stream = self._fs.open(where)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def _write_once(self, name: str, text: str) -> bool:
-        """Creates a file with all of ``text``; False if it is there already, so of two writers one wins."""
-        final, part = self._path(f"{self.path}/{name}"), self._path(f"{self.path}/_{uuid.uuid4().hex}")
-        out = self._fs.create(part, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if self._fs.exists(final) or not self._fs.rename(part, final):
-            self._fs.delete(part, False)
-            return False
-        return True
-
     def pointer(self) -> dict:
         """The newest version: {version, batch, tables: {name: [folders]}, buckets: {number: folder}}."""
-        self._fs.mkdirs(self._path(self.path))
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        versions = [int(n[8:-5]) for n in names if n.startswith("pointer-") and n.endswith(".json")]
-        if not versions:
+        if not (versions := self._versions()):
             return {"version": 0, "batch": None, "tables": {}, "buckets": {}, "n_buckets": self.buckets}
-        return json.loads(self._read(f"pointer-{max(versions):012d}.json"))
+        return self._pointer(max(versions))
+
+    def _versions(self) -> list[int]:
+        return [int(n[8:-5]) for n in names(self.spark, self.path) if n.startswith("pointer-") and n.endswith(".json")]
+
+    def _pointer(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/pointer-{version:012d}.json"))
 
     # --- tables ---
 
@@ -66,16 +49,15 @@ class Store:
             return self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(*folders)
 
-    def load(self, pointer: dict | None = None) -> State:
+    def load(self, pointer: dict | None = None, buckets: list[int] | None = None) -> State:
+        """The state of a version; of its rows only those in ``buckets``, if given."""
         p = pointer or self.pointer()
         parts = {f.name: self._frame(f.name, p["tables"].get(f.name, [])) for f in fields(State)}
-        return replace(State(**parts), rows=self._frame("rows", sorted(set(p["buckets"].values()))))
+        held = [v for k, v in p["buckets"].items() if buckets is None or int(k) in buckets]
+        return replace(State(**parts), rows=self._frame("rows", sorted(set(held))))
 
-    def bucket(self):
-        return F.pmod(F.xxhash64(*fold.KEY), F.lit(self.pointer()["n_buckets"]))
-
-    def commit(self, state: State, batch: int | None = None, touched: DataFrame | None = None, expected: int | None = None, new_markers: DataFrame | None = None) -> int:
-        """Writes ``state`` as the next version. ``touched`` (one column of bucket numbers, few) limits which rows are rewritten;
+    def commit(self, state: State, batch: int | None = None, touched: list[int] | None = None, expected: int | None = None, new_markers: DataFrame | None = None) -> int:
+        """Writes ``state`` as the next version. ``touched`` (numbers of buckets) limits which rows are rewritten;
         with ``new_markers`` the markers, the one table that only grows, gain a folder instead of being rewritten.
 
         Raises if another writer has committed since ``expected``, the version that ``state`` was made from."""
@@ -84,7 +66,7 @@ class Store:
             raise RuntimeError(f"another writer committed version {p['version']} after {expected}")
         version, home = p["version"] + 1, f"{self.path}/v{p['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
         n = p["n_buckets"]
-        which = list(range(n)) if touched is None else sorted(int(r[0]) for r in touched.distinct().collect())
+        which = list(range(n)) if touched is None else touched
         by = F.pmod(F.xxhash64(*fold.KEY), F.lit(n))
         buckets = dict(p["buckets"])
         if which:
@@ -102,6 +84,47 @@ class Store:
             (new_markers if grows else getattr(state, name)).write.parquet(f"{home}/{name}")
             tables[name] = [*(p["tables"].get(name, []) if grows else []), f"{home}/{name}"]
         text = json.dumps({"version": version, "batch": p["batch"] if batch is None else batch, "tables": tables, "buckets": buckets, "n_buckets": n})
-        if not self._write_once(f"pointer-{version:012d}.json", text):
+        if not write_text(self.spark, f"{self.path}/pointer-{version:012d}.json", text):
             raise RuntimeError(f"another writer committed version {version}")
         return version
+
+    # --- upkeep ---
+
+    def compact_markers(self, most: int = 16) -> int | None:
+        """Makes one folder of the markers, in order of position, once they lie in more than ``most``; the new version, if any.
+
+        Writers read only markers within a batch's positions, which sorted files let them skip to."""
+        p = self.pointer()
+        if len(folders := p["tables"].get("markers", [])) <= most:
+            return None
+        home = f"{self.path}/v{p['version'] + 1:012d}-{uuid.uuid4().hex[:8]}/markers"
+        self._frame("markers", folders).repartitionByRange("lsn").sortWithinPartitions("lsn").write.parquet(home)
+        version = p["version"] + 1
+        text = json.dumps(p | {"version": version, "tables": p["tables"] | {"markers": [home]}})
+        if not write_text(self.spark, f"{self.path}/pointer-{version:012d}.json", text):
+            raise RuntimeError(f"another writer committed version {version}")
+        return version
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Removes what none of the newest ``keep`` versions names: older pointers, folders of rows and tables, events that waited
+        for an older batch. What a commit that never came to its pointer left goes too, so no writer may be at work."""
+        newest = sorted(self._versions())[-keep:]
+        if not newest:
+            return []
+        pointers = [self._pointer(v) for v in newest]
+        used = {f for p in pointers for f in (*p["buckets"].values(), *(x for t in p["tables"].values() for x in t))}
+        waiting = {f"pending-{-1 if p['batch'] is None else p['batch']:012d}" for p in pointers}
+        gone = []
+        for n in names(self.spark, self.path):
+            path = f"{self.path}/{n}"
+            if n.startswith("pointer-") and int(n[8:-5]) not in newest or n.startswith("pending-") and n not in waiting:
+                gone.append(path)
+            elif n.startswith("v") and not any(u.startswith(f"{path}/") for u in used):
+                gone.append(path)
+            elif n.startswith("v"):
+                for kind in names(self.spark, path):
+                    parts = [f"{path}/{kind}/{x}" for x in names(self.spark, f"{path}/{kind}") if x.startswith("_bucket=")] if kind == "rows" else [f"{path}/{kind}"]
+                    gone += [x for x in parts if x not in used]
+        for path in gone:
+            remove(self.spark, path)
+        return gone

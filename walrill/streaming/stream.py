@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from walrill.functions.lsn import lsn_order
 from walrill.functions.rows import event_key
-from walrill.operators import evolve, fold
-from walrill.operators.apply import apply_batch
+from walrill.operators import evolve
+from walrill.operators.apply import applied
 from walrill.operators.assemble import split_complete
 from walrill.operators.envelope import EVENT, from_records
+from walrill.storage import read_text
 from walrill.streaming.store import Store
 
 PENDING = f"{EVENT}, pos bigint"
@@ -33,7 +36,7 @@ class Writer:
 
     def pending(self, batch: int | None) -> DataFrame:
         folder = self._pending_folder(batch)
-        if not self.store._fs.exists(self.store._path(f"{folder}/_SUCCESS")):
+        if read_text(self.spark, f"{folder}/_SUCCESS") is None:
             return self.spark.createDataFrame([], PENDING)
         return self.spark.read.schema(PENDING).parquet(folder)
 
@@ -41,27 +44,34 @@ class Writer:
         pointer = self.store.pointer()
         if pointer["batch"] is not None and batch <= pointer["batch"]:
             return
-        state = self.store.load(pointer)
         events, unreadable = from_records(records.withColumnRenamed("offset", "pos"), ("pos",))
         events = self.pending(pointer["batch"]).unionByName(events.select(*self.spark.createDataFrame([], PENDING).columns))
         # Several results come from these rows; they are read and parsed once.
         events = events.persist()
         try:
             ready, waiting = split_complete(events)
+            state = self.store.load(pointer)
+            repaired = False
             if self.source_registry is not None:
-                state, _ = evolve.repair(state, self.source_registry, ready)
-            after, outcome = apply_batch(ready, state, check_types=self.check_types)
+                state, report = evolve.repair(state, self.source_registry, ready)
+                repaired = not report.where("action like 'added%'").isEmpty()
+            place, lsn = F.pmod(F.xxhash64("schema", "table", event_key(F.col("schema"), F.col("table"), F.col("key"))), F.lit(pointer["n_buckets"])), lsn_order(F.col("source.commit_lsn"))
+            seen = ready.agg(F.min(lsn).alias("low"), F.max(lsn).alias("high"), F.collect_set(F.when(F.col("operation") != "truncate", place)).alias("touched"), F.max(F.col("operation") == "truncate").alias("cut")).first()
+            # Rows outside the touched buckets, and markers of other positions, have no part in this batch and aren't read.
+            touched = None if seen["cut"] or repaired else sorted(seen["touched"])
+            if touched is not None:
+                state = replace(state, rows=self.store.load(pointer, touched).rows)
+            markers = state.markers.where(F.col("lsn").isNull() | F.col("lsn").between(F.lit(seen["low"]), F.lit(seen["high"])))
+            after, outcome, new = applied(ready, replace(state, markers=markers), check_types=self.check_types)
             lost = unreadable.select(F.concat(F.lit("offset:"), F.col("pos")).alias("event_id"), F.lit(None).cast("string").alias("schema"), F.lit(None).cast("string").alias("table"), F.lit(None).cast("string").alias("operation"), F.create_map(F.lit("value"), F.col("value")).alias("after"), "reason", F.current_timestamp().alias("occurred_at"))
-            letters = after.dead_letters.unionByName(lost, allowMissingColumns=True)
-            after = type(after)(**{**after.__dict__, "dead_letters": letters})
+            after = replace(after, dead_letters=after.dead_letters.unionByName(lost, allowMissingColumns=True))
             waiting.write.mode("overwrite").parquet(self._pending_folder(batch))
-            touched = ready.where("operation <> 'truncate'").select(F.pmod(F.xxhash64("schema", "table", event_key(F.col("schema"), F.col("table"), F.col("key"))), F.lit(pointer["n_buckets"])).alias("b"))
-            cleared = not ready.where("operation = 'truncate'").isEmpty() or self.source_registry is not None
-            new = after.markers.join(state.markers.select("id"), "id", "left_anti").select("id", F.col("lsn").cast("decimal(20,0)").alias("lsn"))
-            version = self.store.commit(after, batch, None if cleared else touched, pointer["version"], new)
+            version = self.store.commit(after, batch, touched, pointer["version"], new.select("id", F.col("lsn").cast("decimal(20,0)").alias("lsn")))
             if self.on_commit is not None:
                 counts = {r["outcome"]: r["n"] for r in outcome.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
-                self.on_commit({"batch": batch, "version": version, "unreadable": unreadable.count(), **counts})
+                held = waiting.agg(F.count(F.lit(1)).alias("n"), F.min("source.commit_time").alias("oldest"), F.current_timestamp().alias("now")).first()
+                age = (held["now"] - held["oldest"]).total_seconds() if held["oldest"] else 0.0
+                self.on_commit({"batch": batch, "version": version, "unreadable": unreadable.count(), "pending": held["n"], "group_age": age, **counts})
         finally:
             events.unpersist()
 
