@@ -177,7 +177,7 @@ def cdc_txn_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""WITH {b} SELECT pos, CASE WHEN pos % 23 = 0 THEN 'unsupported version' WHEN pos % 29 = 0 THEN 'missing schema or table' WHEN pos % 31 = 0 THEN 'unsupported operation'
  WHEN pos % 37 = 0 THEN 'missing key' WHEN pos % 41 = 0 AND kind <> 'error' THEN 'missing after' WHEN pos % 43 = 0 THEN 'bad identifier'
- WHEN pos % 47 = 0 AND kind <> 'error' THEN 'reserved column' END AS reason FROM b""")
+ WHEN (pos % 47 = 0 AND kind <> 'error') OR pos % 53 = 0 THEN 'reserved column' END AS reason FROM b""")
 def cdc_validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why an event breaks the contract, or null; rules in their order."""
     every = lambda n: F.col("pos") % n == 0
@@ -185,6 +185,7 @@ def cdc_validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.withColumn("version", F.when(every(23), 9).otherwise(F.col("version"))).withColumn("schema", F.when(every(29), "").otherwise(F.col("schema"))).withColumn("operation", F.when(every(31), "merge").otherwise(F.col("operation")))
     e = e.withColumn("key", F.when(~every(37), F.col("key"))).withColumn("after", F.when(~every(41), F.col("after"))).withColumn("table", F.when(every(43), "us ers").otherwise(F.col("table")))
     e = e.withColumn("after", F.when(every(47), F.map_concat("after", F.create_map(F.lit("source_lsn"), F.lit("0/1")))).otherwise(F.col("after")))
+    e = e.withColumn("key", F.when(every(53), F.map_concat("key", F.create_map(F.lit("replicated_at"), F.lit("1")))).otherwise(F.col("key")))
     return envelope.with_reason(e).select("pos", "reason")
 
 
@@ -375,15 +376,17 @@ def cdc_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("n_nationkey", quoted(F.concat("n_name", F.lit('"x'))).alias("quoted"), enum_literal(F.array("n_name", F.lit("it's"))).alias("labels"), cast_suffix(kind).alias("suffix"))
 
 
-@_query("""WITH o AS (SELECT o_orderkey, o_orderkey % 100 AS start, o_orderkey % 100 + o_custkey % 50 AS "end", o_custkey % 120 - 5 AS committed FROM orders)
-SELECT o_orderkey, "end" - start AS produced, CASE WHEN committed >= 0 THEN committed - start ELSE 0 END AS consumed, CASE WHEN committed < 0 OR committed > "end" THEN -1 ELSE "end" - committed END AS lag,
- committed >= 0 AND committed < start AS outran, 604800 - (o_orderkey % 100) * 9000 AS headroom, (o_orderkey % 100) > 60 AND committed * 1000000 > 67108864 AS stalled FROM o""")
+@_query("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN -1 ELSE o_orderkey % 100 END AS start, o_orderkey % 100 + o_custkey % 60 - 10 AS "end", CASE WHEN o_orderkey % 13 > 0 THEN o_custkey % 120 - 5 END AS committed FROM orders),
+k AS (SELECT *, start >= 0 AND "end" >= 0 AND "end" >= start AS ends, coalesce(committed, -1) >= 0 AS has_commit FROM o)
+SELECT o_orderkey, CASE WHEN ends THEN "end" - start ELSE -1 END AS produced, CASE WHEN ends AND has_commit THEN committed - start ELSE -1 END AS consumed, CASE WHEN ends AND has_commit AND "end" >= committed THEN "end" - committed ELSE -1 END AS lag,
+ coalesce(start >= 0 AND committed >= 0 AND committed < start, FALSE) AS outran, 604800 - (o_orderkey % 100) * 9000 AS headroom, coalesce((o_orderkey % 100) >= 60 AND committed * 1000000 > 67108864, FALSE) AS stalled FROM k""")
 def cdc_lag_headroom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets to lag, and lag to what is left of retention."""
-    o = log.table(spark, sf_dir, "orders")
-    offsets = o.select("o_orderkey", (F.col("o_orderkey") % 100).alias("start"), (F.col("o_orderkey") % 100 + F.col("o_custkey") % 50).alias("end"), (F.col("o_custkey") % 120 - 5).alias("committed"))
+    """Offsets, some unknown or reversed, to lag, and lag to what is left of retention."""
+    o, k, c = log.table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    first = F.when(k % 7 == 0, None).when(k % 11 == 0, -1).otherwise(k % 100)
+    offsets = o.select("o_orderkey", first.cast("bigint").alias("start"), (k % 100 + c % 60 - 10).alias("end"), F.when(k % 13 > 0, c % 120 - 5).alias("committed"))
     figures = observe.consumer_figures(offsets)
-    spent = F.col("o_orderkey") % 100
+    spent = k % 100
     return figures.select("o_orderkey", "produced", "consumed", "lag", "outran", observe.headroom(spent * 9000, F.lit(observe.RETENTION_SECONDS)).alias("headroom"), observe.stalled(spent, F.col("committed") * 1_000_000).alias("stalled"))
 
 
