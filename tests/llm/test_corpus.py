@@ -549,6 +549,35 @@ def test_contained_items(spark):
     assert decontam.contained_items(docs, bench.limit(0)).collect() == [] == decontam.contained_items(docs.limit(0), bench).collect()
 
 
+def test_ordered_shingles():
+    texts = [b"a b c d e f a b c d e", None, b"", b"X y", b"one two three four five", b"a b c d E F"]
+    h, at = decontam.ordered_shingles(texts)
+    assert np.diff(at).tolist() == [7, 0, 0, 1, 1, 2] and h[0] == h[6] and (h[:2] == h[9:]).all()
+    sets, bounds = common.shingle_sets(texts)
+    assert all(np.array_equal(np.unique(h[at[i] : at[i + 1]]), sets[bounds[i] : bounds[i + 1]]) for i in range(len(texts)))
+
+
+def test_pieces_find_what_every_look_up_finds(spark):
+    r = random.Random(12)
+    text = lambda n: [f"w{r.randint(0, 3_000)}" for _ in range(n)]
+    items = [text(n) for n in [1, 3, 5, 6, 8, 9, 12, 19, 20, 21, 35, 36, 40, 67, 68, 120, 400] for _ in range(6)]
+    rows = []
+    for k in range(240):
+        body, item = text(r.choice([3, 60, 700, 4_000])), list(items[k % len(items)])
+        if len(item) > 30 and k % 2:
+            item[r.randrange(len(item))] = "edited"
+            item.insert(r.randrange(len(item)), "more")
+        place = r.randint(0, len(body))
+        rows.append((k, " ".join(item if len(item) < 5 else [*body[:place], *item, *body[place:]])))
+    # A line of an item that many documents share, without the rest.
+    rows += [(1_000 + k, " ".join([*text(40), *items[-1][:30], *text(40)])) for k in range(60)] + [(None, " ".join(items[50])), (5, " ".join(items[50])), (5, " ".join(items[50])), (2_000, None)]
+    docs, bench = docs_of(spark, rows), spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(0, " ".join(items[50])), (None, "")], "item_id long, text string")
+    found, whole = (Counter(tuple(x) for x in decontam.contained_items(docs, bench, exact=e).collect()) for e in (False, True))
+    assert not found - whole and sum(found.values()) >= 0.995 * sum(whole.values()) > 230
+    bad = {x[0] for x in found}
+    assert Counter(x["doc_id"] for x in decontam.without_items(docs, bench).collect()) == Counter(i for i, _ in rows if i not in bad)
+
+
 # --- 10 ---
 
 

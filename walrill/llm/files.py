@@ -88,7 +88,9 @@ def maybe_in(table: tuple[int, str], keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit ``keys`` the table knows."""
     bits, file = table
     if file not in _LOADED:
-        _LOADED.clear()
+        # A task uses two at most.
+        while len(_LOADED) > 1:
+            _LOADED.pop(next(iter(_LOADED)))
         _LOADED[file] = mapped(*open_folder(file), "u1")
     place = keys >> _U(64 - bits)
     return (_LOADED[file][(place >> _U(3)).astype(np.int64)] >> (7 - (place & _U(7)).astype(np.uint8))) & 1 == 1
