@@ -168,6 +168,20 @@ def test_token_files_round_trip(spark):
     ids = [i for _, i, _, _ in got]
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
     assert token_store.read_digests(spark, token_store.write_tokens(docs.limit(0), path)).collect() == []
+    small = token_store.write_tokens(docs.withColumn("tie", F.lit("mine")).withColumn("tokens", F.lit(0)), path, shard_tokens=500)
+    assert len(small.shards) > 20 and sorted((x["start"], x["n_tokens"], x["ids_crc32"]) for x in token_store.read_digests(spark, small).collect()) == sorted((a, n, c) for a, _, n, c in got)
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    rows = [(1, "Hello  World\n\nx"), (2, None), (3, "it's <|endoftext|> é"), (4, "")]
+    whole = tokenizers.Tokenizer.from_file(path)
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.read_digests(spark, token_store.write_tokens(docs_of(spark, rows), path, end_id=50_256)).collect()}
+    for i, t in rows:
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 50_256]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert token_store.of_words(public.path("word_bpe_49k.json")) and not token_store.of_words(path)
 
 
 # --- 3 ---

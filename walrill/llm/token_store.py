@@ -1,6 +1,7 @@
 """Token files: flat unsigned integers with 64-bit document offsets, written in parallel and read back by memory map.
 
-A store is a folder with, for each shard n in order: ``tokens-n.bin`` (ids, little-endian unsigned 16 or 32 bits),
+A store is a folder with, for each shard n in order (task, then part of it; at most about ``SHARD_TOKENS`` ids, more only for a
+longer document): ``tokens-n.bin`` (ids, little-endian unsigned 16 or 32 bits),
 ``offsets-n.bin`` (one 64-bit offset for each document and one for the end, in ids from the shard's start) and ``docs-n.bin``
 (64-bit document ids, then a byte for each that is 1 where the id is null). A shard's place in the whole sequence, its base,
 is the prefix sum of the lengths of the shards before it.
@@ -8,6 +9,7 @@ is the prefix sum of the lengths of the shards before it.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -25,6 +27,8 @@ from walrill.llm.files import keep, mapped, open_folder
 
 #: Words whose ids a worker remembers, and the longest of them in bytes; beyond it starts afresh.
 REMEMBERED, LONGEST = 1_300_000, 48
+#: Ids in a file at most, unless one document has more, and bytes of text that a task encodes, about.
+SHARD_TOKENS, TASK_BYTES = 64 << 20, 128 << 20
 #: A sentence mark behind an ASCII letter or digit is a token sequence of its own; the tokenizer's own pattern splits there.
 _MARKS = frozenset(b".,;:!?")
 
@@ -42,10 +46,38 @@ class _Places(dict):
         return n
 
 
+#: What a tokenizer does to a text before its model, if ids of words make ids of texts (fixed values).
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTER = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+
+
+def of_words(path: str) -> bool:
+    """Whether a tokenizer file is of the kind that :class:`WordEncoder` is right for; any other is encoded text by text."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    steps = ((d.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (d.get("normalizer") or {}).get("normalizers") == _NORMALIZER and steps == _SPLITTER and d["model"].get("end_of_word_suffix") == "</w>" and not d["model"].get("dropout") and not d.get("truncation") and not d.get("padding")
+
+
+class TextEncoder:
+    """Whole-text ids of any tokenizer, straight from the library."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab().values()) < 1 << 16 else "<u4")
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        spelled = [(t or b"").decode("utf-8", "replace") for t in texts]
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(spelled, add_special_tokens=False)]
+
+
 class WordEncoder:
     """Whole-text ids of a tokenizer that never looks across white space, from the remembered ids of its words.
 
-    ``word_bpe_49k`` is one: its pattern matches no white space and keeps letters apart from marks, and it lowers case, so a
+    ``word_bpe_49k`` is one (see :func:`of_words`): its pattern matches no white space and keeps letters apart from marks, and it lowers case, so a
     text's ids are those of its lower-case words in order. Texts that might spell a special token keep their case."""
 
     def __init__(self, path: str):
@@ -130,68 +162,93 @@ class WordEncoder:
                 self.places[b"\n%d" % self.places.pop(w)] = -1
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder | TextEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> WordEncoder | TextEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = WordEncoder(path) if of_words(path) else TextEncoder(path)
     return _ENCODERS[path]
 
 
-def _writer(folder: str, tokenizer_path: str, end_id: int):
+class _Shard:
+    """The three files of one shard while they are written."""
+
+    def __init__(self, files, root: str, name: str, attempt: int):
+        self.files, self.names, self.attempt = files, {kind: f"{root}/{kind}-{name}.bin" for kind in ("tokens", "offsets", "docs")}, attempt
+        self.out = files.open_output_stream(f"{self.names['tokens']}.{attempt}")
+        self.lengths: list[int] = []
+        self.ids: list[int | None] = []
+        self.total = 0
+
+    def add(self, doc_id: int | None, data: bytes, n: int) -> None:
+        self.out.write(data)
+        self.lengths.append(n)
+        self.ids.append(doc_id)
+        self.total += n
+
+    def close(self) -> None:
+        self.out.close()
+        offsets = np.concatenate([[0], np.cumsum(np.array(self.lengths, np.int64))]).astype("<u8")
+        ids = np.array([0 if i is None else i for i in self.ids], "<i8").tobytes() + np.array([i is None for i in self.ids], "u1").tobytes()
+        for kind, data in (("offsets", offsets.tobytes()), ("docs", ids)):
+            with self.files.open_output_stream(f"{self.names[kind]}.{self.attempt}") as out:
+                out.write(data)
+        for kind in ("docs", "offsets", "tokens"):
+            keep(self.files, f"{self.names[kind]}.{self.attempt}", self.names[kind])
+
+
+def _writer(folder: str, tokenizer_path: str, end_id: int, shard_tokens: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
         task = TaskContext.get()
-        shard, attempt = task.partitionId(), task.taskAttemptId()
-        names = {kind: f"{root}/{kind}-{shard:06d}.bin" for kind in ("tokens", "offsets", "docs")}
-        end = np.array([end_id], encode.dtype).tobytes()
-        lengths, ids, nulls, total = [], [], [], 0
-        with files.open_output_stream(f"{names['tokens']}.{attempt}") as out:
-            for b in batches:
-                texts = raw_texts(b.column(1))
-                for a, z in slices(texts, 4 * BLOCK_BYTES):
-                    for coded in encode(texts[a:z]):
-                        out.write(coded.tobytes() + end)
-                        lengths.append(len(coded) + 1)
-                ids.append(b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-                nulls.append(b.column(0).is_null().to_numpy(zero_copy_only=False).astype("u1"))
-        offsets = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64))]).astype("<u8")
-        total = int(offsets[-1])
-        for kind, data in (("offsets", offsets.tobytes()), ("docs", b"".join(x.tobytes() for x in (*ids, *nulls)))):
-            with files.open_output_stream(f"{names[kind]}.{attempt}") as out:
-                out.write(data)
-        for kind in ("docs", "offsets", "tokens"):
-            keep(files, f"{names[kind]}.{attempt}", names[kind])
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(lengths)], pa.int64()), pa.array([total], pa.int64()), pa.array([encode.dtype.itemsize], pa.int32())], names=["shard", "docs", "tokens", "width"])
+        number, attempt = task.partitionId(), task.taskAttemptId()
+        end, made, shard = np.array([end_id], encode.dtype).tobytes(), [], None
+        for b in batches:
+            texts, ids = raw_texts(b.column(1)), b.column(0).to_pylist()
+            for a, z in slices(texts, 4 * BLOCK_BYTES):
+                for i, coded in enumerate(encode(texts[a:z]), a):
+                    if shard is not None and shard.total + len(coded) >= shard_tokens:
+                        shard.close()
+                        shard = None
+                    if shard is None:
+                        shard = _Shard(files, root, f"{number:06d}-{len(made):04d}", attempt)
+                        made.append(shard)
+                    shard.add(ids[i], coded.tobytes() + end, len(coded) + 1)
+        if shard is not None:
+            shard.close()
+        kind = pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array([number] * len(made), kind), pa.array(range(len(made)), kind), pa.array([len(m.lengths) for m in made], kind), pa.array([m.total for m in made], kind), pa.array([encode.dtype.itemsize] * len(made), kind)], names=["task", "part", "docs", "tokens", "width"])
 
     return write
 
 
 @dataclass(frozen=True)
 class TokenStore:
-    """Where a store is, and of each shard its number, documents, base (ids before it) and bytes an id."""
+    """Where a store is, and of each shard its name, documents, base (ids before it) and bytes an id."""
 
     folder: str
-    shards: tuple[tuple[int, int, int, int], ...]
+    shards: tuple[tuple[str, int, int, int], ...]
 
 
-def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2, folder: str | None = None, text: str = "text", row_id: str = "doc_id") -> TokenStore:
+def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2, folder: str | None = None, text: str = "text", row_id: str = "doc_id", shard_tokens: int = SHARD_TOKENS) -> TokenStore:
     """Encodes the whole texts of ``docs`` in ascending order of id, each with ``end_id`` behind it, and writes a store.
 
     A null or empty text has the end id alone. Rows with a null id come first; rows that share an id follow each other in
-    the order of a hash of their texts. An empty table gives a store without shards. Rows move once, by ranges of the id;
-    the driver receives one row for each shard."""
-    folder = folder or shared_dir(docs.sparkSession)
+    the order of a hash of their texts. An empty table gives a store without shards. Rows move once, by ranges of the id, as
+    many as all texts' bytes ask for; the driver receives one row for each shard. Other columns are left out, whatever their names."""
+    spark, folder = docs.sparkSession, folder or shared_dir(docs.sparkSession)
     rows = docs.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
-    dealt = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    made = dealt.mapInArrow(_writer(folder, tokenizer_path, end_id), "shard int, docs long, tokens long, width int").collect()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Small inputs still use all cores, large ones get tasks of bounded size.
+    n = max(1, -(-size // TASK_BYTES), min(8 * spark.sparkContext.defaultParallelism, -(-size // (10 << 20))))
+    dealt = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    made = dealt.mapInArrow(_writer(folder, tokenizer_path, end_id, shard_tokens), "task long, part long, docs long, tokens long, width long").collect()
     shards, base = [], 0
-    for r in sorted(made, key=lambda r: r["shard"]):
-        if r["docs"]:
-            shards.append((r["shard"], r["docs"], base, r["width"]))
+    for r in sorted(made, key=lambda r: (r["task"], r["part"])):
+        shards.append((f"{r['task']:06d}-{r['part']:04d}", r["docs"], base, r["width"]))
         base += r["tokens"]
     return TokenStore(folder, tuple(shards))
 
@@ -202,9 +259,9 @@ def _reader(store: TokenStore):
         for b in batches:
             for k in b.column(0).to_pylist():
                 shard, n, base, width = store.shards[k]
-                tokens = mapped(files, f"{root}/tokens-{shard:06d}.bin", f"<u{width}")
-                offsets = mapped(files, f"{root}/offsets-{shard:06d}.bin", "<u8").astype(np.int64)
-                docs = mapped(files, f"{root}/docs-{shard:06d}.bin", "u1")
+                tokens = mapped(files, f"{root}/tokens-{shard}.bin", f"<u{width}")
+                offsets = mapped(files, f"{root}/offsets-{shard}.bin", "<u8").astype(np.int64)
+                docs = mapped(files, f"{root}/docs-{shard}.bin", "u1")
                 ids, nulls = docs[: 8 * n].view("<i8"), docs[8 * n : 9 * n]
                 for a in range(0, n, 5_000):
                     z = min(n, a + 5_000)
