@@ -47,36 +47,47 @@ def targets(sources: DataFrame) -> DataFrame:
     return d.select("source", "source_size", F.when(F.col("full"), MOST * F.col("s").cast("double")).otherwise(share).alias("target"))
 
 
-def with_copies(docs: DataFrame, text: str = "text", source: str = "source", row_id: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def with_copies(docs: DataFrame, text: str = "text", source: str = "source", row_id: str = "doc_id", carry: list[str] | None = None, stored: bool = False) -> DataFrame:
     """``docs`` with size, source_size, target and copies (how often the mix takes the row). The same rows give the same mix.
 
     Null texts and texts without words have size 0; a null source is a source of its own, last; rows with a null or repeated
     id are rows of their own. An empty table gives an empty result. New names get underscores in front where taken.
-    The prefix sum has two levels: rows are ranked inside cells (source, size class, hash) of bounded size, and the
-    counts of the cells are summed per source, so a source with a third of all rows needs no task of its own."""
+    The prefix sum has three levels: rows are ranked inside cells (source, size class, hash) of bounded size, the counts of the
+    cells are summed per source and class, and those of the classes per source, so a source with a third of all rows needs no
+    task of its own. Texts are read twice, for the counts and for the result; with ``stored``, for rows of which little is
+    carried, once."""
     kept = docs.columns if carry is None else carry
     size, source_size, target, copies = (fresh_name(docs.select(*kept), n) for n in ("size", "source_size", "target", "copies"))
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary"))
     rows = docs.select(F.struct(*kept).alias("mix_row"), F.col(source).alias("mix_source"), n_words(F.col(text)).alias("mix_size"), digest.alias("mix_hash"))
     klass = F.when(F.col("mix_size") == 0, F.lit(-1)).otherwise(F.floor(F.log2(F.col("mix_size").cast("double")) * 4)).cast("int")
-    counted = materialise(rows.groupBy("mix_source", klass.alias("mix_class")).agg(F.count(F.lit(1)).alias("n"), F.sum("mix_size").alias("s")))
+    narrow = rows = materialise(rows) if stored else rows
+    if not stored:
+        narrow = materialise(rows.select("mix_source", "mix_size", "mix_hash"))
+    counted = materialise(narrow.groupBy("mix_source", klass.alias("mix_class")).agg(F.count(F.lit(1)).alias("n"), F.sum("mix_size").alias("s")))
     total = counted.agg(F.sum("n")).first()[0] or 0
     cells = max(1, -(-total // CELL_ROWS))
     cell = F.pmod(F.conv(F.substring("mix_hash", 1, 8), 16, 10).cast("long"), F.lit(cells)).cast("int")
-    rows = rows.select("*", klass.alias("mix_class"), cell.alias("mix_cell"))
+    rows, narrow = (df.select("*", klass.alias("mix_class"), cell.alias("mix_cell")) for df in (rows, narrow))
     by_source = targets(counted.groupBy(F.col("mix_source").alias("source")).agg(F.sum("s").alias("source_size")))
     # A row for each cell: all rows / CELL_ROWS for each source and size class.
-    sizes = rows.groupBy("mix_source", "mix_class", "mix_cell").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("mix_source").orderBy("mix_class", "mix_cell").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select(F.col("mix_source").alias("b_source"), F.col("mix_class").alias("b_class"), F.col("mix_cell").alias("b_cell"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_base"))
-    bases = materialise(bases.join(by_source, F.col("b_source").eqNullSafe(F.col("source"))).drop("source"))
+    sizes = narrow.groupBy("mix_source", "mix_class", "mix_cell").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.unboundedPreceding, -1
+    cells_before = Window.partitionBy("mix_source", "mix_class").orderBy("mix_cell").rowsBetween(*upto)
+    classes_before = Window.partitionBy("mix_source").orderBy("mix_class").rowsBetween(*upto)
+    so_far = lambda over: F.coalesce(F.sum("n").over(over), F.lit(0))
+    bases = sizes.select(F.col("mix_source").alias("b_source"), F.col("mix_class").alias("b_class"), F.col("mix_cell").alias("b_cell"), so_far(cells_before).alias("cells_base"))
+    classes = counted.select(F.col("mix_source").alias("c_source"), F.col("mix_class").alias("c_class"), so_far(classes_before).alias("class_base"))
+    bases = bases.join(classes, F.col("b_source").eqNullSafe(F.col("c_source")) & (F.col("b_class") == F.col("c_class"))).withColumn("mix_base", F.col("cells_base") + F.col("class_base"))
+    bases = materialise(bases.join(by_source, F.col("b_source").eqNullSafe(F.col("source"))).select("b_source", "b_class", "b_cell", "mix_base", "source_size", "target"))
     inside = Window.partitionBy("mix_source", "mix_class", "mix_cell").orderBy("mix_size", "mix_hash")
     ranked = rows.select("*", F.row_number().over(inside).alias("mix_rank"))
     joined = ranked.join(bases, F.col("mix_source").eqNullSafe(F.col("b_source")) & (F.col("mix_class") == F.col("b_class")) & (F.col("mix_cell") == F.col("b_cell")))
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(MOST)), F.col("target") / F.col("source_size").cast("double"))).otherwise(0.0)
     offset = F.conv(F.substring(F.md5(F.coalesce(F.col("mix_source"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
     k = (F.col("mix_base") + F.col("mix_rank")).cast("double")
-    n = F.floor(offset + k * rate) - F.floor(offset + (k - 1) * rate)
+    # Rounding of very large k may give one copy more than the rate allows.
+    n = F.least(F.lit(MOST), F.floor(offset + k * rate) - F.floor(offset + (k - 1) * rate))
     return joined.select("mix_row.*", F.col("mix_size").alias(size), F.col("source_size").alias(source_size), F.col("target").alias(target), n.cast("int").alias(copies))
 
 
@@ -88,7 +99,7 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", row_id: s
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The digest of :func:`with_copies` for each row of ``docs`` (doc_id, text, source)."""
-    out = with_copies(docs.select("doc_id", "text", "source"), carry=["doc_id"])
+    out = with_copies(docs.select("doc_id", "text", "source"), carry=["doc_id"], stored=True)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -109,5 +120,5 @@ r AS (SELECT c.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN leas
              ('0x' || substr(md5(coalesce(c.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u,
              row_number() OVER (PARTITION BY c.source ORDER BY class, cell, size, h)::DOUBLE AS k
       FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, (size * (floor(u + k * rate) - floor(u + (k - 1) * rate)))::BIGINT AS taken FROM r
+SELECT doc_id, size, source_size, target, (size * least(2, floor(u + k * rate) - floor(u + (k - 1) * rate)))::BIGINT AS taken FROM r
 """
