@@ -237,6 +237,23 @@ def test_large_cluster_goes_through_chunks(spark, monkeypatch):
     assert got == {d: c for d, _, c in brute_components(rows)} and len(set(got.values())) > 1
 
 
+def test_clusters_of_groups_and_loose_sets(spark, monkeypatch):
+    r = random.Random(15)
+    words_ = [f"b{i}" for i in range(120)]
+    # Two dense groups that differ by a fifth of their words, sets between them that belong to neither, and a chain of edits.
+    other = [*words_[:96], *(f"c{i}" for i in range(24))]
+    edit = lambda base, p, k: " ".join(w if r.random() > p else f"e{k}x{i}" for i, w in enumerate(base))
+    rows = [(k, edit(words_, 0.004, k)) for k in range(30)] + [(100 + k, edit(other, 0.004, k + 100)) for k in range(30)] + [(200 + k, edit(words_, 0.05, k + 200)) for k in range(25)]
+    chain = list(words_)
+    for k in range(25):
+        chain[3 * k] = f"z{k}"
+        rows.append((300 + k, " ".join(chain)))
+    want = {d: c for d, _, c in brute_components(rows)}
+    for sets in (8, 256):
+        monkeypatch.setattr(neardup, "CHUNK_SETS", sets)
+        assert {x["doc_id"]: x["component_id"] for x in neardup.near_duplicates(docs_of(spark, rows)).collect()} == want and len(set(want.values())) > 3
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     assert {r["node"]: r["component"] for r in graph.components(edges).collect()} == {i: 0 for i in range(41)} | {100: 100, 101: 100}
@@ -615,6 +632,26 @@ def test_shards(spark):
     assert sharding.with_shards(clash, 4).columns == [*clash.columns, "size", "_shard", "slot"]
 
 
+def test_splitters_against_sorted_keys(spark):
+    r = random.Random(21)
+    rows = [(r.getrandbits(63), r.getrandbits(63) - 2**62, r.randint(16, 3_000)) for _ in range(1_500)]
+    # Copies of two texts, one of which outweighs a shard, and rows that are equal in all.
+    rows += [(77, i * 2**40, 500) for i in range(600)] + [(-5, i, 40) for i in range(30)] + [(9, 9, 100)] * 20
+    unsigned = lambda x: x + 2**63
+    keys = sorted(((unsigned(h) << 64) | unsigned(lo), w) for h, lo, w in rows)
+    total, below, seen = sum(w for _, w in keys), {}, 0
+    for n, (k, w) in enumerate(keys):
+        below.setdefault(k, (seen, n))
+        seen += w
+    below[keys[-1][0] + 1] = (total, len(keys))
+    cuts, before = sharding.splitters(spark.createDataFrame(rows, "hi long, lo long, weight long").repartition(3), 20)
+    assert len(cuts) == 19 and before[0] == 0
+    for i, (cut, n) in enumerate(zip(cuts, before[1:], strict=True), 1):
+        under = (sum(w for k, w in keys if k < cut), sum(k < cut for k, _ in keys))
+        nearest = min(abs(w - total * i / 20) for w, _ in below.values())
+        assert under[1] == n and abs(under[0] - total * i / 20) <= max(0.005 * total / 20, nearest) + 1e-9
+
+
 def test_many_ranges_a_shard(spark):
     got = sharding.with_shards(docs_of(spark, [(i, "z" * (i % 50)) for i in range(2_000)]), 3, part_rows=100).collect()
     for s in range(3):

@@ -6,8 +6,10 @@
    more fills bin j from all elements, so every coordinate is filled. Coordinates of two sets agree with a probability of
    their similarity, and their number of agreements is concentrated.
 3. Sets that agree on all rows of a band become candidates, in stars around the band bucket's least node.
-4. Candidate clusters are verified exactly in blocks of bounded size: the sets of two chunks of a cluster meet in a task, which
-   counts all intersections by matrix products over the shared shingles and emits a spanning forest of the true links.
+4. Candidate clusters are verified exactly in blocks of bounded size, which count all intersections by matrix products over
+   the shared shingles and emit a spanning forest of the true links. First every chunk of a cluster meets the cluster's head.
+   Sets that are linked by then need no more comparisons with each other; only chunks that still hold different groups meet,
+   two in a task. A group of near copies, however large, is one group after the first step, so its work is linear.
 """
 
 from __future__ import annotations
@@ -137,6 +139,8 @@ def true_links(hashes: np.ndarray, at: np.ndarray, percent: int, cells: int = 4_
 
 
 def _verify(percent: int):
+    """Of the texts of one block, with the names of their sets (node): a spanning forest of the true links."""
+
     def run(table: pa.Table) -> pa.Table:
         texts = raw_texts(table.column("text").combine_chunks())
         wanted = table.column("node").to_numpy().astype(np.int64)
@@ -179,23 +183,71 @@ def near_groups(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     clusters = materialise(_clusters(digests))
     nodes = digests.select("doc_id", "n_shingles", "node").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     nodes = materialise(nodes)
-    sizes = nodes.groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("chunks"))
-    placed = nodes.join(sizes, "component").select("node", "component", "rep", "chunks", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("own"))
-    others = F.when(F.col("chunks") > 1, F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), F.col("own"))).otherwise(F.array(F.lit(0).cast("long")))
     # Only texts of candidates move: a bit table of their ids, of bounded size, drops nearly all others before the join.
     table = bit_table(materialise(nodes.select(F.xxhash64("rep"))))
     if table is None:
         return digests, clusters
     near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(frugal(_known(table)), "doc_id long, text string")
-    texts = near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "component", "own", "text", F.explode(others).alias("other"))
-    blocks = texts.groupBy("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    links = materialise(blocks.applyInArrow(_verify(percent), "a long, b long"))
+    spans = _parts("n")
+    sizes = nodes.groupBy("component").agg(spans.alias("chunks"))
+    placed = nodes.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    # The head goes to every chunk.
+    where = F.when(F.col("node") == F.col("component"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("own"))
+    schema = "a long, b long"
+    first = _with_texts(near, placed.select("node", "component", "rep", F.explode(where).alias("block"))).groupBy("component", "block")
+    links = materialise(first.applyInArrow(_verify(percent), schema))
     found = materialise(components(links))
+    many = placed.where("chunks > 1").select("node", "component", "rep", "n")
+    if not many.isEmpty():
+        more = _between_groups(many, found, near, percent, schema)
+        if more is not None:
+            discard(found)
+            found = materialise(components(materialise(links.unionByName(more))))
     discard(clusters)
     discard(nodes)
     return digests, found
 
 
+def _parts(n: str):
+    """How many chunks of bounded size a group of sets makes."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum(n) / CHUNK_SHINGLES))
+
+
+def _with_texts(near: DataFrame, placed: DataFrame) -> DataFrame:
+    """``placed`` (with node and rep) with the texts of the rows that their sets come from."""
+    return near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).drop("doc_id", "rep")
+
+
+def _between_groups(nodes: DataFrame, found: DataFrame, near: DataFrame, percent: int, schema: str) -> DataFrame | None:
+    """Links between sets of one candidate cluster that are not linked yet; ``nodes`` are those of clusters of several chunks.
+
+    Groups of a fair size get chunks of their own, small ones share chunks. Two chunks meet unless they are of one group, so
+    only clusters that really hold many groups cost more than their size."""
+    told = nodes.join(found.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    told = materialise(told)
+    split = told.groupBy("component").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("component")
+    told = materialise(told.join(split, "component", "left_semi"))
+    if told.isEmpty():
+        return None
+    groups = told.groupBy("component", "label").agg(F.count(F.lit(1)).alias("sets"), _parts("n").alias("own_parts"))
+    told = told.join(groups, ["component", "label"]).withColumn("big", (F.col("sets") * 4 >= CHUNK_SETS) | (F.col("own_parts") > 1))
+    shared = told.where("not big").groupBy("component").agg(_parts("n").alias("shared_parts"))
+    told = told.join(shared, "component", "left")
+    part = lambda n: F.pmod(F.xxhash64("node", F.lit(2)), F.col(n))
+    chunk = F.when(F.col("big"), F.xxhash64("label", part("own_parts"))).otherwise(F.xxhash64(F.lit("shared"), part("shared_parts")))
+    told = materialise(told.select("node", "component", "rep", "big", F.when(F.col("big"), F.col("label")).alias("label"), chunk.alias("chunk")))
+    chunks = told.select("component", "chunk", "big", "label").distinct()
+    side = lambda s: chunks.select("component", *(F.col(c).alias(f"{c}_{s}") for c in ("chunk", "big", "label")))
+    of_groups = chunks.where("big").select("component", "label").distinct()
+    labels = of_groups.select("component", F.col("label").alias("label_a")).join(of_groups.select("component", F.col("label").alias("label_b")), "component").where("label_a < label_b")
+    both = labels.join(side("a").where("big_a"), ["component", "label_a"]).join(side("b").where("big_b"), ["component", "label_b"]).select("component", "chunk_a", "chunk_b")
+    mixed = side("a").where("not big_a").join(side("b"), "component").where("big_b or chunk_a <= chunk_b").select("component", "chunk_a", "chunk_b")
+    pairs = materialise(both.unionByName(mixed).withColumn("block", F.xxhash64("chunk_a", "chunk_b")))
+    ends = pairs.select("component", "block", F.explode(F.array_distinct(F.array("chunk_a", "chunk_b"))).alias("chunk"))
+    blocks = _with_texts(near, told.select("node", "component", "rep", "chunk").join(ends, ["component", "chunk"]).drop("chunk")).groupBy("component", "block")
+    return materialise(blocks.applyInArrow(_verify(percent), schema))
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable over links) and kept (whether it is its own) of each row.
 
