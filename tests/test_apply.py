@@ -22,18 +22,20 @@ def outcomes(df):
     return {r["id"]: r["outcome"] for r in df.collect()}
 
 
-def test_five_group_scenario(spark, stamp):
+def test_groups_with_repeats_stale_changes_and_truncates(spark, stamp):
     k = lambda n: {"id": str(n)}
     up = lambda n, name: {"id": str(n), "name": name}
-    log = [event(n, f"g1-{n}", "insert", "0/1000", k(n), up(n, x)) for n, x in ((1, "one"), (2, "two"), (3, "three"))]
-    log += [event(n + 10, f"g1-{n}", "insert", "0/1000", k(n), up(n, x)) for n, x in ((1, "one"), (2, "two"), (3, "three"))]
-    log += [event(20, "g3-1", "update", "0/2000", k(1), up(1, "updated"), ["bio"]), event(21, "g3-2", "update", "0/2000", k(2), up(2, "two-v2")), event(22, "g3-3", "update", "0/0500", k(3), up(3, "stale")), event(23, "g3-4", "delete", "0/2000", k(3))]
-    log += [event(30, "g4-1", "truncate", "0/3000"), event(31, "g4-2", "insert", "0/3000", k(11), up(11, "eleven")), event(40, "g5-1", "truncate", "0/2500"), event(41, "g5-2", "insert", "0/4000", k(12), up(12, "twelve"))]
+    names = ((4, "ada"), (5, "bo"), (6, "cy"))
+    log = [event(n, f"a:{n}", "insert", "0/A0", k(n), up(n, x)) for n, x in names] + [event(n + 20, f"a:{n}", "insert", "0/A0", k(n), up(n, x)) for n, x in names]
+    log += [event(30, "b:1", "update", "0/B0", k(4), up(4, "adele"), ["bio"]), event(31, "b:2", "update", "0/B0", k(5), up(5, "bob")), event(32, "b:3", "update", "0/90", k(6), up(6, "late")), event(33, "b:4", "delete", "0/B0", k(6))]
+    mid, _ = apply_batch(events(spark, log), state(spark, **TEXT), stamp)
+    assert rows(mid.rows) == {"id=4": up(4, "adele"), "id=5": up(5, "bob")}
+    log += [event(40, "c:1", "truncate", "0/C0"), event(41, "c:2", "insert", "0/C0", k(7), up(7, "di")), event(50, "d:1", "truncate", "0/BF"), event(51, "d:2", "insert", "0/D0", k(8), up(8, "eve"))]
     after, outcome = apply_batch(events(spark, log), state(spark, **TEXT), stamp)
-    assert rows(after.rows) == {"id=11": up(11, "eleven"), "id=12": up(12, "twelve")}
-    assert [int(r["watermark"]) for r in after.watermarks.collect()] == [0x3000]
-    assert after.markers.count() == 11
-    assert outcomes(outcome.where("outcome <> 'duplicate'"))["g5-1"] == "stale truncate"
+    assert rows(after.rows) == {"id=7": up(7, "di"), "id=8": up(8, "eve")}
+    assert [int(r["watermark"]) for r in after.watermarks.collect()] == [0xC0] and after.markers.count() == 11
+    assert outcomes(outcome.where("outcome <> 'duplicate'"))["d:1"] == "stale truncate"
+    assert {r["replicated_at"] for r in after.rows.collect()} == {AT}
     # The same log again changes nothing.
     again, second = apply_batch(events(spark, log), after, stamp)
     assert rows(again.rows) == rows(after.rows) and set(outcomes(second).values()) == {"duplicate"}
@@ -68,7 +70,8 @@ def test_poison_is_set_aside_and_replayed(spark, stamp):
     assert reasons == {"b": "value refused by type age", "d": "required column missing age", "e": "undefined column x", "f": "unsupported version"}
     assert [r["event_id"] for r in quarantine.listed(after.dead_letters, "public", "t").collect()] == ["b", "d", "e", "f"]
     # Still refused: record and marker stay. Then the column becomes text.
-    same, result = quarantine.replay(after, quarantine.one(after.dead_letters, "b"), stamp)
+    same, result = quarantine.replay(after, quarantine.one(after.dead_letters, "b"), F.lit("2024-03-03").cast("timestamp"))
+    assert {r["occurred_at"] for r in same.dead_letters.collect()} == {AT}
     assert [tuple(r) for r in result.collect()] == [("b", False)] and same.dead_letters.count() == 4 and same.markers.count() == 6
     fixed = replace(after, registry=registry(spark, **AGES | {"age": ("text", False, False)}))
     healed, result = quarantine.replay(fixed, quarantine.one(after.dead_letters, "b"), stamp)
@@ -100,6 +103,20 @@ def test_repair_adds_what_the_source_has(spark, stamp):
     assert evolve.repair(fixed, source, e.where("pos = 2"))[1].isEmpty()
 
 
+def test_reserved_columns_of_keys_and_rows(spark, stamp):
+    log = [event(1, "a", "delete", "0/1", {"id": "1", "replicated_at": "x"}), event(2, "b", "insert", "0/1", {"id": "2"}, {"id": "2", "source_lsn": "x"}), event(3, "c", "delete", "0/1", {"id": "3"})]
+    after, outcome = apply_batch(events(spark, log), state(spark, **TEXT), stamp)
+    assert outcomes(outcome) == {"a": "dead letter", "b": "dead letter", "c": "applied"} and {r["reason"] for r in after.dead_letters.collect()} == {"reserved column"}
+
+
+def test_dead_letters_of_one_moment_replay_in_their_order(spark, stamp):
+    log = [event(p, f"0/{lsn}:{s}", "insert", f"0/{lsn}", {"id": "1"}, {"id": "1", "age": f"x{p}"}) for p, (lsn, s) in enumerate([("9", 2), ("9", 10), ("A", 1)])]
+    after, _ = apply_batch(events(spark, log), state(spark, **AGES), stamp)
+    fixed = replace(after, registry=registry(spark, **AGES | {"age": ("text", False, False)}))
+    healed, _ = quarantine.replay(fixed, after.dead_letters, stamp)
+    assert rows(healed.rows)["id=1"]["age"] == "x2" and [r["id"] for r in quarantine.as_events(after.dead_letters).orderBy("pos").collect()] == ["0/9:2", "0/9:10", "0/A:1"]
+
+
 def test_snapshot_and_boot(spark, stamp):
     s = state(spark, id=("bigint", False, True), score=("numeric(12,4)", True, False), extra=("text", True, False), flag=("boolean", True, False))
     source = spark.createDataFrame([(1, Decimal("12345.6789"), True), (2, None, False)], "id long, score decimal(12,4), flag boolean")

@@ -66,6 +66,16 @@ def test_retention(spark, committed, start, outran):
     assert one(spark, observe.retention_outran(F.lit(committed), F.lit(start))) == (outran,)
 
 
+OFFSETS = [((5, 15, 8), (10, 3, 7, False)), ((5, 15, -1), (10, -1, -1, False)), ((5, 15, None), (10, -1, -1, False)), ((None, 15, 8), (-1, -1, -1, False)), ((5, None, 8), (-1, -1, -1, False)), ((9, 5, 3), (-1, -1, -1, True)), ((5, 15, 3), (10, -2, 12, True)), ((5, 15, 20), (10, 15, -1, False))]
+
+
+def test_consumer_figures(spark):
+    df = spark.createDataFrame([(i, *o) for i, (o, _) in enumerate(OFFSETS)], "i int, start long, end long, committed long")
+    got = {r["i"]: (r["produced"], r["consumed"], r["lag"], r["outran"]) for r in observe.consumer_figures(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(OFFSETS)}
+    assert one(spark, *(observe.stalled(F.lit(s), F.lit(b)) for s, b in ((60, 2**26 + 1), (59, 2**40), (60, 2**26)))) == (True, False, False)
+
+
 def test_metrics_pages():
     m = observe.Metrics()
     m.add("cdc_messages_processed_total", operation="insert")

@@ -58,6 +58,20 @@ def test_store_commits_all_or_nothing(spark, store):
         store.commit(s, expected=pointer["version"])
 
 
+def test_upkeep_of_the_store(spark, store):
+    from walrill.operators.apply import applied
+
+    for n in range(5):
+        s, pointer = store.load(), store.pointer()
+        after, _, new = applied(events(spark, [event(n, f"e{n}", "insert", f"0/{n + 1}", {"id": str(n)}, {"id": str(n), "age": "1"})]), s, F.lit("2024-01-01").cast("timestamp"))
+        store.commit(after, n, None, pointer["version"], new.select("id", F.col("lsn").cast("decimal(20,0)").alias("lsn")))
+    assert store.compact_markers(most=3) == store.pointer()["version"] and store.compact_markers(most=3) is None
+    before = (rows(store.load().rows), sorted(r["id"] for r in store.load().markers.collect()))
+    assert before[1] == [f"e{n}" for n in range(5)] and len(store.vacuum(keep=1)) > 4 and store.vacuum(keep=1) == []
+    assert (rows(store.load().rows), sorted(r["id"] for r in store.load().markers.collect())) == before
+    assert set(rows(store.load(buckets=[0]).rows)) < set(before[0])
+
+
 def test_admin(spark, store, tmp_path):
     from walrill.operators.apply import apply_batch
 
