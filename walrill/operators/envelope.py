@@ -61,9 +61,15 @@ def to_records(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return events.select(*carry, event_key(F.col("schema"), F.col("table"), F.col("key")).alias("key"), text.alias("value"), headers.alias("headers"))
 
 
-def from_records(records: DataFrame, carry: tuple[str, ...] = ("offset",)) -> tuple[DataFrame, DataFrame]:
-    """(events, unreadable): JSON values as events beside ``carry``; what is no JSON object or has no version goes apart."""
+def read_records(records: DataFrame, carry: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """JSON values as events beside ``carry``, parsed once; where one is no JSON object or has no version, ``value`` and ``reason``
+    say so and the event's fields are null."""
     parsed = records.select(*carry, F.col("value").cast("string").alias("value"), F.from_json(F.col("value").cast("string"), EVENT).alias("e"))
     bad = F.col("e").isNull() | F.col("e.version").isNull() & F.col("e.id").isNull() & F.col("e.operation").isNull()
-    good = parsed.where(~bad).select(*carry, *(F.col(f"e.{f}").alias(f) for f in FIELDS))
-    return good, parsed.where(bad).select(*carry, "value", F.lit("unreadable JSON").alias("reason"))
+    return parsed.select(*carry, *(F.col(f"e.{f}").alias(f) for f in FIELDS), F.when(bad, F.col("value")).alias("value"), F.when(bad, "unreadable JSON").alias("reason"))
+
+
+def from_records(records: DataFrame, carry: tuple[str, ...] = ("offset",)) -> tuple[DataFrame, DataFrame]:
+    """(events, unreadable) of :func:`read_records`."""
+    parsed = read_records(records, carry)
+    return parsed.where("reason is null").select(*carry, *FIELDS), parsed.where("reason is not null").select(*carry, "value", "reason")

@@ -3,8 +3,9 @@
 Order of arrival (``pos``) is the order of application. Duplicates go by event id; an effective truncate cuts off all that comes
 before it; behind the last one each key is independent. One summary row for each key, combined before the exchange, says
 whether its positions ever fall and whether its changes all have the same columns. Where they do and never fall, the last
-change is the row. Other keys whose positions only rise take columns by their latest writer; only keys with a stale event are
-folded event by event. The last two kinds are looked up again among the events only if there are any.
+change is the row. Other keys whose positions only rise take columns by their latest writer, and so do keys that were never
+deleted, once events below the running maximum of their positions are left out. Only keys with a stale event and a delete are
+folded event by event. All kinds but the first are looked up again among the events only if there are any.
 
 Events here have pos, id, schema, table, operation, key (text, see ``event_key``), lsn (decimal), commit_time, key_row, after.
 State rows have schema, table, key, lsn, commit_time, cols, replicated_at.
@@ -101,6 +102,17 @@ def fold_columns(events: DataFrame, base: DataFrame, left: DataFrame, at: Column
     return rows.join(left, KEY).select(*KEY, F.col("last.lsn").alias("lsn"), F.col("last.commit_time").alias("commit_time"), "cols", at.alias("replicated_at"))
 
 
+def fold_guarded(events: DataFrame, base: DataFrame, at: Column) -> DataFrame:
+    """State of keys that are never deleted, whose positions may fall: what is below an earlier position changes nothing.
+
+    The running maximum goes by blocks of the log, so no key is gathered here either."""
+    held = base.select(*KEY, F.col("lsn").alias("_held"))
+    high = F.greatest(F.coalesce("_high", F.lit(-1)), F.coalesce("_held", F.lit(-1)))
+    passed = running(events, ["pos"], {"_high": ("max", F.col("lsn"))}, tuple(KEY), exclusive=True).join(held, KEY, "left").where(F.col("lsn") >= high).drop("_high", "_held")
+    left = passed.groupBy(*KEY).agg(F.lit(None).cast("long").alias("gone"), F.max_by(F.struct("lsn", "commit_time"), "pos").alias("last"))
+    return fold_columns(passed, base, left, at).select(*ROWS).unionByName(base.join(left.select(*KEY), KEY, "left_anti").select(*ROWS))
+
+
 def _names(row: Column) -> Column:
     """The columns of a row as one number."""
     return F.xxhash64(F.array_sort(F.map_keys(row)))
@@ -125,7 +137,8 @@ def summaries(changes: DataFrame, base: DataFrame) -> DataFrame:
     held = base.select(*KEY, F.col("lsn").alias("b_lsn"), _names(F.col("cols")).alias("b_names"))
     d = latest.join(order, KEY).join(held, KEY, "left")
     same = F.coalesce(F.col("least") == F.col("most"), F.lit(True)) & (F.col("gone").isNotNull() | F.col("b_names").isNull() | (F.col("b_names") == F.col("least")))
-    how = F.when(F.col("falls") | F.coalesce(F.col("b_lsn") > F.col("first"), F.lit(False)), "exact").when((F.col("last.operation") == "delete") | same, "last").otherwise("columns")
+    late = F.col("falls") | F.coalesce(F.col("b_lsn") > F.col("first"), F.lit(False))
+    how = F.when(late & F.col("gone").isNotNull(), "exact").when(late, "guarded").when((F.col("last.operation") == "delete") | same, "last").otherwise("columns")
     return d.select(*KEY, "gone", "last", how.alias("how"))
 
 
@@ -154,6 +167,8 @@ def fold(events: DataFrame, base: DataFrame | None = None, watermarks: DataFrame
         out = out.unionByName(own("last").where("last.operation <> 'delete'").select(*KEY, "last.lsn", "last.commit_time", F.col("last.after").alias("cols"), at.alias("replicated_at")))
     if "columns" in kinds:
         out = out.unionByName(fold_columns(of(changes, "columns"), of(kept, "columns"), own("columns"), at).select(*ROWS))
+    if "guarded" in kinds:
+        out = out.unionByName(fold_guarded(of(changes, "guarded"), of(kept, "guarded"), at))
     if "exact" in kinds:
         out = out.unionByName(fold_exact(of(changes, "exact"), of(kept, "exact"), at).select(*ROWS))
     return out, new_watermarks(marks, watermarks)

@@ -204,9 +204,13 @@ def cdc_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = log.changes(log.base(spark, sf_dir))
     e = e.withColumn("after", F.map_concat("after", F.create_map(F.lit("note"), F.lit(None).cast("string"))))
     records = envelope.to_records(e, ("pos",)).withColumn("value", F.when(F.col("pos") % 50 == 0, F.substring("value", F.lit(1), F.lit(20))).otherwise(F.col("value")))
-    good, bad = envelope.from_records(records, ("pos",))
-    back = good.select("pos", "id", "operation", F.element_at("key", F.lit("uid")).alias("uid"), F.element_at("after", F.lit("cents")).alias("cents"), F.coalesce(F.array_contains(F.map_keys("after"), "note"), F.lit(False)).alias("has_note"), F.col("source.sequence").alias("sequence"), F.lit(True).alias("readable"))
-    return back.unionByName(bad.select("pos", *(F.lit("").alias(c) for c in ("id", "operation", "uid", "cents")), F.lit(False).alias("has_note"), F.lit(0).alias("sequence"), F.lit(False).alias("readable")))
+    back, read = envelope.read_records(records, ("pos",)), F.col("reason").isNull()
+    text = lambda value, name: F.when(read, value).otherwise("").alias(name)
+    noted = F.coalesce(F.array_contains(F.map_keys("after"), "note"), F.lit(False))
+    return back.select(
+        "pos", text(F.col("id"), "id"), text(F.col("operation"), "operation"), text(F.element_at("key", F.lit("uid")), "uid"), text(F.element_at("after", F.lit("cents")), "cents"),
+        (read & noted).alias("has_note"), F.when(read, F.col("source.sequence")).otherwise(0).alias("sequence"), read.alias("readable"),
+    )
 
 
 # --- decoding ---------------------------------------------------------------------------------------------------

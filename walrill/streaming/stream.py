@@ -15,7 +15,7 @@ from walrill.functions.rows import event_key
 from walrill.operators import evolve
 from walrill.operators.apply import applied
 from walrill.operators.assemble import split_complete
-from walrill.operators.envelope import EVENT, from_records
+from walrill.operators.envelope import EVENT, read_records
 from walrill.storage import read_text
 from walrill.streaming.store import Store
 
@@ -44,9 +44,10 @@ class Writer:
         pointer = self.store.pointer()
         if pointer["batch"] is not None and batch <= pointer["batch"]:
             return
-        events, unreadable = from_records(records.withColumnRenamed("offset", "pos"), ("pos",))
-        events = self.pending(pointer["batch"]).unionByName(events.select(*self.spark.createDataFrame([], PENDING).columns))
         # Several results come from these rows; they are read and parsed once.
+        read = read_records(records.withColumnRenamed("offset", "pos"), ("pos",)).persist()
+        events, unreadable = read.where("reason is null"), read.where("reason is not null").select("pos", "value", "reason")
+        events = self.pending(pointer["batch"]).unionByName(events.select(*self.spark.createDataFrame([], PENDING).columns))
         events = events.persist()
         try:
             ready, waiting = split_complete(events)
@@ -74,6 +75,7 @@ class Writer:
                 self.on_commit({"batch": batch, "version": version, "unreadable": unreadable.count(), "pending": held["n"], "group_age": age, **counts})
         finally:
             events.unpersist()
+            read.unpersist()
 
 
 def start(records: DataFrame, writer: Writer, checkpoint: str, available_now: bool = False) -> StreamingQuery:
