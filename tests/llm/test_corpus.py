@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import time
@@ -556,6 +557,64 @@ def test_terms_beside_a_value_with_one_signature(spark):
     assert all(not terms[i] for i in [*range(300), *range(3000, 3009)])
 
 
+def brute_terms(rows, context=300, support=3, disclosure=0.9):
+    """All spans of each row: base ones, and terms by counting contexts, documents and copies in plain Python (ASCII texts)."""
+    term = re.compile(r"(?<!\S)(?:[A-Za-z]{4,}|[A-Z][A-Za-z]{0,2})(?=[.,;:!?]*(?:\s|$))")
+    base = [[(int(a), int(z), k) for k, a, z in (x.split(":") for x in brute_spans(t).split(",") if x)] for _, t in rows]
+    seen, near = {}, {}
+    for u, (_, t) in enumerate(rows):
+        for a, z, kind in base[u]:
+            value = t[a:z].lower() if kind == "email" else t[a:z] if kind == "ip" else re.sub("[^0-9]", "", t[a:z])
+            left, right = t[max(0, a - context) : a], t[z : z + context]
+            left = re.sub(r"^\S+", "", left) if a > context else left
+            right = re.sub(r"\S+$", "", right) if len(right) == context else right
+            beside = (next(iter(re.findall(r"(\S+)\s*$", left.lower())), ""), next(iter(re.findall(r"^\s*(\S+)", right.lower())), ""))
+            seen.setdefault((kind, value), {}).setdefault(u, set()).add(beside)
+            for w in {w.lower() for w in term.findall(left) + term.findall(right)}:
+                near.setdefault((kind, value, w), {}).setdefault(u, set()).add(beside)
+    copy = {}
+    for u, (_, t) in enumerate(rows):
+        own = shingles(t)
+        copy[u] = next((copy[v] for v in range(u) if 100 * len(own & shingles(rows[v][1])) >= 80 * len(own | shingles(rows[v][1]))), u)
+    found, n = {}, len(rows)
+    for (kind, value, w), docs in near.items():
+        n_e = len(seen[kind, value])
+        most = {}
+        for u, contexts in docs.items():
+            most[copy[u]] = max(most.get(copy[u], 0), len(contexts))
+        df = sum(w in re.split("[^a-z]+", t.lower()) for _, t in rows)
+        whole = math.log2(n / n_e)
+        if sum(map(len, seen[kind, value].values())) >= support and sum(most.values()) >= support and whole > 0 and math.log2(n * len(docs)) - math.log2(n_e * df) >= disclosure * whole - 1e-12:
+            for u in seen[kind, value]:
+                found.setdefault(u, set()).add(w)
+    out = Counter()
+    for u, (i, t) in enumerate(rows):
+        spans = [(a, KINDS_ORDER.index(k), z) for a, z, k in base[u]]
+        for w in found.get(u, ()):
+            spans += [(m.start(), 4, m.end()) for m in re.finditer(rf"(?i)(?<!\S){re.escape(w)}(?=[.,;:!?]*(?:\s|$))", t) if not any(a < m.end() and m.start() < z for a, z, _ in base[u])]
+        out[i, ",".join(f"{KINDS_ORDER[k]}:{a}:{z}" for a, k, z in sorted(set(spans)))] += 1
+    return out
+
+
+KINDS_ORDER = ["email", "ip", "card", "phone", "term"]
+
+
+def test_terms_against_brute_force(spark):
+    r = random.Random(17)
+    vocabulary = ["lorem", "Ipsum", "dolor", "amet", "elit", "Al", "sed", "magna", "and", "of", "Ut", "tempor"]
+    fill = lambda n: " ".join(r.choice(vocabulary) + r.choice(["", "", "", ",", "."]) for _ in range(n))
+    people = [(f"name{chr(97 + k)}@x.org", f"Person{chr(97 + k)}son", r.randint(1, 9)) for k in range(12)] + [("10.0.0.7", "Hosty", 5), ("+49 30 1234567", "Bo", 4)]
+    rows = [(i, fill(r.randint(1, 60))) for i in range(60)]
+    for value, name, times in people:
+        for _ in range(times):
+            parts = [fill(r.randint(0, 80)), name if r.random() < 0.9 else "", fill(r.randint(0, 30)), value, fill(r.randint(0, 60)), r.choice([name.lower(), "", f"{value} {name}!"])]
+            rows.append((len(rows), " ".join(p for p in parts if p)))
+    rows += [(500, rows[70][1])] * 4
+    got = Counter((x["doc_id"], x["spans"]) for x in pii.find_personal_data(docs_of(spark, rows)).collect())
+    want = brute_terms(rows)
+    assert got == want and sum(s.count("term:") for _, s in want) > 20
+
+
 # --- 9 ---
 
 
@@ -658,5 +717,21 @@ def test_many_ranges_a_shard(spark):
         assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(1 for r in got if r["shard"] == s)))
 
 
+def test_further_columns_may_have_any_name(spark):
+    taken = "node bands component group least text_key anchor row_key low high spans uid hits kind start end piece h item row weight part hi lo range_key mix_row mix_source k rank size shard slot score label_id".split()
+    rows = [(1, "alpha beta gamma delta epsilon zeta a@b.co " * 4, "s"), (1, "alpha beta gamma delta epsilon zeta a@b.co " * 4, "s"), (None, None, None), (2, "", "t"), (3, "one two", "t")]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = plain.select("*", *(F.lit(f"mine {c}").alias(c) for c in taken))
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (None, None)], "item_id long, text string").select("*", *(F.lit(0).alias(c) for c in ("item", "h", "uid", "shingles")))
+    runs = [neardup.near_duplicates, substring.substring_dedup, pii.find_personal_data, mixing.mixture, sharding.shard_documents, lambda d: decontam.contained_items(d, bench)]
+    for run in runs:
+        digest = lambda df: Counter(tuple(x[c] for c in df.columns if c not in ("shard", "slot")) for x in df.collect())
+        assert digest(run(docs)) == digest(run(plain))
+    stages = [neardup.one_of_each, lambda d: decontam.without_items(d, bench), mixing.mixed]
+    for stage, n in zip(stages, (4, 3, None), strict=True):
+        out = stage(docs)
+        assert out.columns == docs.columns and (n is None or out.count() == n)
+
+
 def test_all_queries_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11)) and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
