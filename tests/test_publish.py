@@ -86,7 +86,13 @@ def test_supervised_stream_goes_on_after_a_failure(spark, tmp_path):
 
     p.sink = flaky
     stream = lambda: publish.start(spark.readStream.format("replication").option("path", path).load(), p, f"{tmp_path}/checkpoint", available_now=True)
-    publish.supervised(stream, retry.Backoff(base=0.001, attempts=3), p, metrics)
+    topic = lambda brokers: spark.createDataFrame([(brokers, 1, 3, 3, 2)], "brokers int, partitions int, replication int, in_sync int, min_in_sync int")
+    with pytest.raises(retry.PermanentError, match="fewer than 3 brokers"):
+        publish.supervised(stream, retry.Backoff(base=0.001, attempts=3), checks=[lambda: observe.require_durable(topic(2))])
+    with publish.fenced(spark, f"{tmp_path}/out", "s"):
+        with pytest.raises(retry.PermanentError, match="at work"), publish.fenced(spark, f"{tmp_path}/out", "s"):
+            pass
+        publish.supervised(stream, retry.Backoff(base=0.001, attempts=3), p, metrics, [lambda: observe.require_durable(topic(3))])
     assert tries == [0, 0] and published(p) == [(0, "0/4:1", "1")]
     text = observe.answer(metrics, "/metrics")[1]
     assert 'cdc_errors_total{component="stream"} 1' in text and "cdc_messages_published_total 1" in text and "cdc_transactions_acked_total 1" in text

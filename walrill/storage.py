@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +17,11 @@ def shared_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = f"file:///tmp/checkpoints/{os.getpid()}"
+        folder = f"/tmp/checkpoints/{os.getpid()}"
+        base = f"file://{folder}"
         spark.conf.set("spark.checkpoint.dir", base)
+        # Nothing in it outlives the process.
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -9,6 +9,7 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from walrill.functions.retry import PermanentError
 from walrill.operators.ordered import running
 
 #: Upper bounds of the histograms' buckets (fixed values).
@@ -90,6 +91,13 @@ def durability_faults(topic: DataFrame) -> DataFrame:
     return topic.withColumn("fault", fault)
 
 
+def require_durable(topic: DataFrame) -> None:
+    """Raises unless ``topic`` keeps every rule; to be called before a stream starts. No waiting mends a wrong setting."""
+    fault = durability_faults(topic).where("fault is not null").select("fault").first()
+    if fault is not None:
+        raise PermanentError(f"the topic can't be relied on: {fault['fault']}")
+
+
 @dataclass
 class Metrics:
     """Counters, gauges and histograms of a process, in the text form that scrapers read."""

@@ -8,16 +8,19 @@ batch that comes again after a crash starts from the same state and writes the s
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from walrill.functions.retry import Backoff, PermanentError, fence_key
 from walrill.operators.decode import MESSAGE, decode
 from walrill.operators.envelope import to_records
 from walrill.operators.ordered import numbered
 from walrill.storage import names, read_text, remove, write_text
+from walrill.streaming.observe import Metrics
 
 #: A message's JSON form in the feed: all but its position, which the source gives.
 BODY = MESSAGE.split(", ", 1)[1]
@@ -127,17 +130,39 @@ def start(messages: DataFrame, publisher: Publisher, checkpoint: str, available_
     return (sink.trigger(availableNow=True) if available_now else sink).start()
 
 
-def supervised(begin: Callable[[], StreamingQuery], backoff, publisher: Publisher | None = None, metrics=None) -> None:
+@contextmanager
+def fenced(spark: SparkSession, folder: str, name: str) -> Iterator[None]:
+    """Keeps a second stream of one name out while the first runs: a file named by the stream's number, made once and removed at the end.
+
+    A file that a dead process left has to be removed by hand, which is the safe side: two publishers would both write."""
+    path = f"{folder.rstrip('/')}/fence-{fence_key(name) & (2**64 - 1):016x}"
+    names(spark, folder)
+    if not write_text(spark, path, name):
+        raise PermanentError(f"another stream {name} is at work: {path}")
+    try:
+        yield
+    finally:
+        remove(spark, path)
+
+
+def supervised(begin: Callable[[], StreamingQuery], backoff: Backoff, publisher: Publisher | None = None, metrics: Metrics | None = None, checks: Sequence[Callable[[], None]] = ()) -> None:
     """Runs a query to its end, and again after a failure, with growing waits; the open transaction is forgotten in between.
 
-    What is known to fail for good is raised at once, see :class:`walrill.functions.retry.PermanentError`."""
+    ``checks`` come before each start, such as :func:`walrill.streaming.observe.require_durable` of the topic's settings. What is
+    known to fail for good (:class:`walrill.functions.retry.PermanentError`) is raised at once."""
 
     def go() -> None:
         try:
-            begin().awaitTermination()
+            for check in checks:
+                check()
+            query = begin()
+            if metrics is not None:
+                metrics.set_ready(True)
+            query.awaitTermination()
         except Exception:
             if metrics is not None:
                 metrics.failed("stream")
+                metrics.set_ready(False)
             if publisher is not None:
                 publisher.reset()
             raise

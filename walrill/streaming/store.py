@@ -45,6 +45,7 @@ class Store:
     # --- tables ---
 
     def _frame(self, name: str, folders: list[str]) -> DataFrame:
+        """A table in its present form; columns that older folders don't have are null in their rows."""
         if not folders:
             return self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(*folders)
