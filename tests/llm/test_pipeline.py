@@ -24,7 +24,7 @@ def test_stages(spark):
     scores = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, table(spark, SF, "labels")).collect()}
     assert Counter(map(key, outputs["toxicity"])) == Counter(key(r) for r in inputs["toxicity"] if not scores[r["doc_id"]])
     rows = inputs["near_duplicates"]
-    kept = {d for (d, n, c) in brute_components([(r["doc_id"], r["text"]) for r in rows]) if d == c}
+    kept = {d for (d, n, c) in brute_components([(r["doc_id"], r["text"]) for r in rows], 80) if d == c}
     assert Counter(map(key, outputs["near_duplicates"])) == Counter(key(r) for r in rows if r["doc_id"] in kept)
     items = [shingles(r["text"]) for r in table(spark, SF, "benchmark").collect()]
     clean = lambda t: not any(i and 100 * len(i & shingles(t)) >= 80 * len(i) for i in items)
