@@ -145,7 +145,7 @@ def test_bad_markup_takes_linear_time():
     for html in bad:
         begun = time.process_time()
         html_extract.main_text(html)
-        assert time.process_time() - begun < 5, html[:30]
+        assert time.process_time() - begun < 15, html[:30]
     assert html_extract.main_text("<p>&#" + "0" * 9_000 + "65;&#" + "7" * 9_000 + ";&#66;") == "A\ufffdB"
 
 
@@ -393,7 +393,7 @@ def test_long_tokens_take_linear_time():
     for text in ["1" * 1_000_000, "中文字" * 110_000, "中文字，" * 80_000, "a" + "1" * 1_000_000 + "b", "@" * 500_000, "a" * 300_000, "a1" * 100_000, "x " * 100_000]:
         begun = time.process_time()
         restorer.words(text)
-        assert time.process_time() - begun < 5, text[:10]
+        assert time.process_time() - begun < 15, text[:10]
     assert [toxicity.spots(t) for t in ("tr4sh!!", "!!a1b", "(idiot", "x" + "7" * 40 + "y", "stuuupid", "plain", "42")] == [["tr4sh"], ["a1b"], ["(idiot"], [], ["stuuupid"], [], []]
 
 

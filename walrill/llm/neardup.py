@@ -181,8 +181,9 @@ def near_groups(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     keyed = narrow.withColumn("text_key", F.xxhash64("text"))
     digests = materialise(keyed.mapInArrow(frugal(_digest(*banding(percent))), "doc_id long, n_shingles long, node long, bands array<long>, text_key long"))
     clusters = materialise(_clusters(digests))
-    nodes = digests.select("doc_id", "n_shingles", "node").join(clusters, "node").groupBy("node", "component").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
-    nodes = materialise(nodes)
+    # Rows of equal texts combine before they move, so a text in a third of all rows is one row of each task.
+    nodes = digests.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
+    nodes = materialise(nodes.join(clusters, "node"))
     # Only texts of candidates move: a bit table of their ids, of bounded size, drops nearly all others before the join.
     table = bit_table(materialise(nodes.select(F.xxhash64("rep"))))
     if table is None:
