@@ -189,23 +189,23 @@ def near_groups(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     if table is None:
         return digests, clusters
     near = narrow.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(frugal(_known(table)), "doc_id long, text string")
-    spans = _parts("n")
-    sizes = nodes.groupBy("component").agg(spans.alias("chunks"))
+    near = materialise(near.join(nodes.select("node", "rep"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text"))
+    sizes = nodes.groupBy("component").agg(_parts("n").alias("chunks"))
     placed = nodes.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")))
     # The head goes to every chunk.
     where = F.when(F.col("node") == F.col("component"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(F.array("own"))
     schema = "a long, b long"
-    first = _with_texts(near, placed.select("node", "component", "rep", F.explode(where).alias("block"))).groupBy("component", "block")
+    first = near.join(placed.select("node", "component", F.explode(where).alias("block")), "node").groupBy("component", "block")
     links = materialise(first.applyInArrow(_verify(percent), schema))
     found = materialise(components(links))
-    many = placed.where("chunks > 1").select("node", "component", "rep", "n")
+    many = placed.where("chunks > 1").select("node", "component", "n")
     if not many.isEmpty():
         more = _between_groups(many, found, near, percent, schema)
         if more is not None:
             discard(found)
             found = materialise(components(materialise(links.unionByName(more))))
-    discard(clusters)
-    discard(nodes)
+    for done in (clusters, nodes, near):
+        discard(done)
     return digests, found
 
 
@@ -214,11 +214,6 @@ def _parts(n: str):
     return F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_SETS), F.ceil(F.sum(n) / CHUNK_SHINGLES))
 
 
-def _with_texts(near: DataFrame, placed: DataFrame) -> DataFrame:
-    """``placed`` (with node and rep) with the texts of the rows that their sets come from."""
-    return near.join(placed, F.col("doc_id").eqNullSafe(F.col("rep"))).drop("doc_id", "rep")
-
-
 def _between_groups(nodes: DataFrame, found: DataFrame, near: DataFrame, percent: int, schema: str) -> DataFrame | None:
     """Links between sets of one candidate cluster that are not linked yet; ``nodes`` are those of clusters of several chunks.
 
@@ -236,7 +231,7 @@ def _between_groups(nodes: DataFrame, found: DataFrame, near: DataFrame, percent
     told = told.join(shared, "component", "left")
     part = lambda n: F.pmod(F.xxhash64("node", F.lit(2)), F.col(n))
     chunk = F.when(F.col("big"), F.xxhash64("label", part("own_parts"))).otherwise(F.xxhash64(F.lit("shared"), part("shared_parts")))
-    told = materialise(told.select("node", "component", "rep", "big", F.when(F.col("big"), F.col("label")).alias("label"), chunk.alias("chunk")))
+    told = materialise(told.select("node", "component", "big", F.when(F.col("big"), F.col("label")).alias("label"), chunk.alias("chunk")))
     chunks = told.select("component", "chunk", "big", "label").distinct()
     side = lambda s: chunks.select("component", *(F.col(c).alias(f"{c}_{s}") for c in ("chunk", "big", "label")))
     of_groups = chunks.where("big").select("component", "label").distinct()
@@ -245,7 +240,7 @@ def _between_groups(nodes: DataFrame, found: DataFrame, near: DataFrame, percent
     mixed = side("a").where("not big_a").join(side("b"), "component").where("big_b or chunk_a <= chunk_b").select("component", "chunk_a", "chunk_b")
     pairs = materialise(both.unionByName(mixed).withColumn("block", F.xxhash64("chunk_a", "chunk_b")))
     ends = pairs.select("component", "block", F.explode(F.array_distinct(F.array("chunk_a", "chunk_b"))).alias("chunk"))
-    blocks = _with_texts(near, told.select("node", "component", "rep", "chunk").join(ends, ["component", "chunk"]).drop("chunk")).groupBy("component", "block")
+    blocks = near.join(told.select("node", "component", "chunk").join(ends, ["component", "chunk"]).drop("chunk"), "node").groupBy("component", "block")
     return materialise(blocks.applyInArrow(_verify(percent), schema))
 
 
